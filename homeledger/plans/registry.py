@@ -32,6 +32,7 @@ def load_all() -> None:
     """Import every query module so its ``register`` calls run."""
     from homeledger.plans import (  # noqa: F401
         q_clean,
+        q_quality,
     )
 
 

@@ -59,3 +59,35 @@ def snapshot_label(location, past_days, ts_text):
 def stage_name(verb: str, source_name):
     """``<verb>_<source without its verb prefix>`` — the next stage's snapshot name."""
     return F.concat(F.lit(verb + "_"), strip_known_prefix(source_name))
+
+
+def route_verdict(verdicts: DataFrame, source_name) -> DataFrame:
+    """#7: pass -> processed (``validated_``), fail -> errors (``quarantined_``)."""
+    return verdicts.select(
+        "*",
+        F.when(F.col("success"), F.lit("processed")).otherwise(F.lit("errors")).alias("route"),
+        F.when(F.col("success"), stage_name("validated", source_name))
+         .otherwise(stage_name("quarantined", source_name)).alias("target_snapshot"))
+
+
+def route_snapshot(df: DataFrame, verdict_success: bool, base_path: str, source_name: str,
+                   strict: bool = False) -> str:
+    """#7: write the snapshot to processed/ or errors/ — ONE write job.
+
+    ``verdict_success`` is the suite verdict (45 rows reduced on the driver).
+    ``strict`` raises instead of quarantining.
+    """
+    if not verdict_success and strict:
+        raise ValueError(f"validation failed for {source_name}; strict mode refuses to quarantine")
+    verb, stage = ("validated", "processed") if verdict_success else ("quarantined", "errors")
+    name = f"{verb}_{_strip_prefix_py(source_name)}"
+    path = f"{base_path.rstrip('/')}/stage={stage}/snapshot={name}"
+    df.write.mode("errorifexists").parquet(path)
+    return path
+
+
+def _strip_prefix_py(name: str) -> str:
+    for p in KNOWN_PREFIXES:
+        if name.startswith(p):
+            return name[len(p):]
+    return name
