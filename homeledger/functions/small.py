@@ -1,0 +1,26 @@
+"""Bounded broadcast of small statistics tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Statistics tables (one row per group / category) above this many rows are
+# joined without a broadcast hint; AQE then picks the strategy from the
+# materialized size.
+MAX_BROADCAST_ROWS = 100_000
+
+
+def bounded_broadcast(stats: DataFrame, cap: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``stats`` only if it provably holds at most ``cap`` rows.
+
+    The check fetches at most ``cap + 1`` rows of an already-aggregated table;
+    within the bound the rows become a local relation with a broadcast hint
+    (and the aggregate is not recomputed), beyond it the aggregate is returned
+    as is for an ordinary shuffle join.
+    """
+    rows = stats.limit(cap + 1).collect()
+    if len(rows) > cap:
+        return stats
+    spark = stats.sparkSession
+    return F.broadcast(spark.createDataFrame(rows, stats.schema))

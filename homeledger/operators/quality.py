@@ -209,3 +209,15 @@ def validity_bounds(df: DataFrame, columns: list[str]) -> DataFrame:
 def validity_rules(df: DataFrame) -> DataFrame:
     """#39: newest build year allowed for new construction = max(year_built) - 2."""
     return df.agg((F.max("year_built").cast("int") - 2).alias("new_construction_min_year"))
+
+
+def feature_delta(before: DataFrame, after: DataFrame) -> DataFrame:
+    """#36: nulls left after feature engineering, row delta, feature-count delta."""
+    n_before = before.agg(F.count(F.lit(1)).alias("__b"))
+    agg = after.agg(F.count(F.lit(1)).alias("__a"),
+                    sum((F.count_if(F.col(f"`{c}`").isNull()) for c in after.columns), F.lit(0)).alias("__n"))
+    return agg.crossJoin(n_before).select(
+        F.col("__n").cast("bigint").alias("null_count_total"),
+        (F.col("__a") - F.col("__b")).alias("row_count_delta"),
+        F.lit(len(after.columns) - len(before.columns)).alias("feature_count_delta"),
+        F.lit(len(after.columns)).alias("engineered_columns"))

@@ -33,6 +33,7 @@ def load_all() -> None:
     from homeledger.plans import (  # noqa: F401
         q_clean,
         q_quality,
+        q_features,
     )
 
 
