@@ -20,7 +20,7 @@ from homeledger.schema import (
     DEFAULT_MONTH, DEFAULT_SEASON, LISTING_KEYS, MEDIAN_IMPUTE_PLAN, NON_FEATURE_COLUMNS,
     ONE_HOT_COLUMNS,
 )
-from homeledger.session import guard_optimizer
+from homeledger.session import ensure_checkpoint_dir, guard_optimizer
 
 MAX_CATEGORIES = 10_000  # per one-hot column; more is a modelling error, not a bound on rows
 
@@ -169,15 +169,17 @@ def dummy_columns(categories: dict[str, list[str]]) -> list[str]:
 
 
 def feature_pipeline(df: DataFrame, run: FeatureRun | None = None,
-                     keep: list[str] = LISTING_KEYS, checkpoint: bool = False) -> DataFrame:
+                     keep: list[str] = LISTING_KEYS, checkpoint: bool = True) -> DataFrame:
     """#50: the transforms in order.  ``keep`` columns ride along as row ids.
 
-    ``checkpoint=True`` cuts lineage after the row filters (written to the
-    shared checkpoint dir) so the imputation aggregates do not recompute the
-    upstream joins; off by default for small runs.
+    ``checkpoint=True`` (default) cuts lineage after the row filters: the rows
+    are written once to the shared checkpoint dir (reliable; survives executor
+    loss) and the mode, median and category passes read that copy instead of
+    recomputing the upstream joins, dedup and quartiles.
     """
     guard_optimizer(df.sparkSession)
     run = run if run is not None else FeatureRun()
+    ensure_checkpoint_dir(df.sparkSession)
     out = drop_unnecessary_columns(df); run.applied.append("drop_non_feature_columns")
     out = drop_days_on_mls(out); run.applied.append("drop_days_on_mls")
     out = list_date_features(out); run.applied.append("extract_list_date_features")

@@ -34,6 +34,7 @@ def load_all() -> None:
         q_clean,
         q_quality,
         q_features,
+        q_model,
     )
 
 
