@@ -35,6 +35,7 @@ def load_all() -> None:
         q_quality,
         q_features,
         q_model,
+        q_score,
     )
 
 
