@@ -67,13 +67,13 @@ def _share(num: Column, den: Column) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
-def _measures(df: DataFrame, e: Expectation, i: int) -> tuple[list[Column], Column, Column]:
+def _measures(df: DataFrame, e: Expectation, i: int, by: list[str]) -> tuple[list[Column], Column, Column]:
     """(aggregates, observed, success) for expectation ``e`` (aggregates named by ordinal)."""
-    has = e.column is not None and e.column in df.columns
+    has = e.column is not None and e.column in df.columns and e.column not in by
     if e.kind == ROW_COUNT:
         return [], F.col("__rows").cast("double"), F.col("__rows") >= F.lit(e.min_value)
     if e.kind == COLUMN_COUNT:
-        n = len(df.columns)
+        n = len(df.columns) - len(by)
         return [], F.lit(float(n)), F.lit(n >= e.min_value)
     if e.kind == EXISTS:
         return [], F.lit(1.0 if has else 0.0), F.lit(has)
@@ -102,7 +102,7 @@ def evaluate_suite(df: DataFrame, suite: list[Expectation] | None = None,
     aggs: list[Column] = [F.count(F.lit(1)).alias("__rows")]
     rows = []
     for i, e in enumerate(suite):
-        a, obs, ok = _measures(df, e, i)
+        a, obs, ok = _measures(df, e, i, by)
         aggs += a
         rows.append(F.struct(F.lit(i).alias("ordinal"), F.lit(e.kind).alias("expectation"),
                              F.lit(e.column).cast("string").alias("column"),

@@ -167,7 +167,7 @@ def q_schema_snapshot(spark, sf):
     return Q.schema_snapshot(listings(spark, sf))
 
 
-def fingerprint_sql(src: str, cols=LISTING_COLUMNS, doubles=None) -> str:
+def fingerprint_sql(src: str, cols=LISTING_COLUMNS, doubles=None, by: str | None = None) -> str:
     from homeledger.schema import LISTING_SCHEMA
     types = {f.name: f.dataType.typeName() for f in LISTING_SCHEMA.fields}
     if doubles is not None:
@@ -177,8 +177,9 @@ def fingerprint_sql(src: str, cols=LISTING_COLUMNS, doubles=None) -> str:
         v = f"CAST({c} AS DECIMAL(38,6))" if types.get(c) == "double" else c
         parts.append(f"COALESCE(CAST({v} AS VARCHAR), chr(0))")
     text = "concat_ws(chr(1), " + ", ".join(parts) + ")"
-    return (f"SELECT count(*) AS row_count, CAST(CAST(sum(CAST(('0x' || substr(md5({text}), 1, 13)) AS BIGINT)) "
-            f"AS DECIMAL(38,0)) AS VARCHAR) AS fingerprint FROM {src}")
+    g, grp = (f"{by}, ", f" GROUP BY {by}") if by else ("", "")
+    return (f"SELECT {g}count(*) AS row_count, CAST(CAST(sum(CAST(('0x' || substr(md5({text}), 1, 13)) AS BIGINT)) "
+            f"AS DECIMAL(38,0)) AS VARCHAR) AS fingerprint FROM {src}{grp}")
 
 
 @register("dataset_fingerprint", lambda: with_cleaned() +

@@ -36,6 +36,8 @@ def load_all() -> None:
         q_features,
         q_model,
         q_score,
+        q_review,
+        q_sources,
     )
 
 

@@ -91,3 +91,77 @@ def _strip_prefix_py(name: str) -> str:
         if name.startswith(p):
             return name[len(p):]
     return name
+
+
+def pull_listings(df: DataFrame, location: str, listing_type: str, past_days: int, as_of: str) -> DataFrame:
+    """#3: listings of one location ('City, ST'), listing type and the last N days up to ``as_of``.
+
+    Predicates stay on stored columns so they reach the Parquet scan.
+    """
+    city, _, state = (p.strip() for p in location.partition(","))
+    d = F.try_to_date(F.col("list_date"))
+    cond = (F.col("city") == city) & (F.col("status") == listing_type.upper()) & \
+           (d >= F.date_sub(F.to_date(F.lit(as_of)), past_days)) & (d <= F.to_date(F.lit(as_of)))
+    if state:
+        cond = cond & (F.col("state") == state)
+    return df.where(cond)
+
+
+def write_snapshot(df: DataFrame, base_path: str, stage: str, fmt: str = "parquet") -> str:
+    """#6: write a table with a ``snapshot`` column as ``stage=…/snapshot=…`` partitions."""
+    path = f"{base_path.rstrip('/')}/stage={stage}"
+    df.write.mode("append").partitionBy("snapshot").format(fmt).save(path)
+    return path
+
+
+def latest_snapshot(spark: SparkSession, stage_path: str, fmt: str = "parquet") -> DataFrame:
+    """#2: rows of the newest snapshot in a stage directory (by file modification time);
+    an empty stage raises."""
+    df = spark.read.format(fmt).load(stage_path)
+    stamped = df.select("*", F.col("_metadata.file_modification_time").alias("__mt"))
+    newest = stamped.groupBy("snapshot").agg(F.max("__mt").alias("__t")) \
+                    .orderBy(F.desc("__t"), F.desc("snapshot")).limit(1)
+    if not newest.take(1):
+        raise FileNotFoundError(f"no snapshot under {stage_path}")
+    return stamped.join(newest.select("snapshot"), "snapshot", "left_semi").drop("__mt")
+
+
+def write_reports(reports: DataFrame, path: str) -> str:
+    """#8: reports as JSON lines (one object per report)."""
+    reports.write.mode("append").json(path)
+    return path
+
+
+def read_reports(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """#9: read saved reports with a declared schema; broken records are skipped."""
+    return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+
+
+def run_log_rows(stage: str, run_id: str, metrics: DataFrame, params: dict[str, float] | None = None,
+                 tags: dict[str, str] | None = None) -> DataFrame:
+    """#10: one-row metric table -> long (run_id, stage, kind, key, value, text) rows."""
+    num_cols = [c for c, t in metrics.dtypes if t in ("int", "bigint", "double", "float", "smallint")]
+    long = metrics.select(F.inline(F.array(*[
+        F.struct(F.lit("metric").alias("kind"), F.lit(c).alias("key"), F.col(c).cast("double").alias("value"),
+                 F.lit(None).cast("string").alias("text")) for c in num_cols])))
+    extra = [(("param", k, float(v), None)) for k, v in (params or {}).items()] + \
+            [(("tag", k, None, str(v))) for k, v in (tags or {}).items()]
+    spark = metrics.sparkSession
+    if extra:
+        long = long.unionByName(spark.createDataFrame(extra, "kind string, key string, value double, text string"))
+    return long.select(F.lit(run_id).alias("run_id"), F.lit(stage).alias("stage"), "kind", "key", "value", "text")
+
+
+def append_run_log(rows: DataFrame, path: str) -> None:
+    """#10: append to the run log table (Parquet, partitioned by stage)."""
+    rows.write.mode("append").partitionBy("stage").parquet(path)
+
+
+def run_summary(log: DataFrame, metric_order: list[str], skip_params: list[str]) -> DataFrame:
+    """#64: metrics in display order, then parameters minus a skip list sorted by name."""
+    order = F.create_map(*[x for i, k in enumerate(metric_order) for x in (F.lit(k), F.lit(i))])
+    m = log.where((F.col("kind") == "metric") & order[F.col("key")].isNotNull()).select(
+        F.lit("metric").alias("section"), order[F.col("key")].alias("position"), "key", "value")
+    p = log.where((F.col("kind") == "param") & ~F.col("key").isin(skip_params)).select(
+        F.lit("param").alias("section"), F.lit(0).alias("position"), "key", "value")
+    return m.unionByName(p)
