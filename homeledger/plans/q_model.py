@@ -275,3 +275,14 @@ def q_save_load_model(spark, sf):
 def q_sample_rows(spark, sf):
     eng, _ = _training(spark, sf)
     return EV.sample_rows(eng, 500, 42, LISTING_KEYS)
+
+
+@register("tree_attribution")
+def q_tree_attribution(spark, sf):
+    """#71 on 500 sampled rows (the attribution sample size) of a small forest."""
+    from homeledger.operators import attribution as A
+    eng, feats = _training(spark, sf)
+    model = M.train(eng, feats, "rf", SMALL)
+    sample = EV.sample_rows(eng, 500, 42, LISTING_KEYS)
+    att = A.tree_attribution(sample, model.stages[-1], feats, LISTING_KEYS)
+    return A.to_long(att, feats, LISTING_KEYS)
