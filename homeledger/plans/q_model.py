@@ -146,14 +146,20 @@ def q_version_history(spark, sf):
 
 # ------------------------------------------------------------------ explanation tables (D, stand-in attributions)
 def _standin_attributions(spark, sf):
-    """Long (keys, feature, contribution) with contribution = value - feature mean (a linear,
-    unit-weight attribution) over the engineered table."""
+    """Wide stand-in attributions: contribution = value - feature mean (a linear,
+    unit-weight attribution); the means are ONE aggregate broadcast as one row."""
     eng, feats = _training(spark, sf)
-    long = EV.unpivot_features(eng.select(*LISTING_KEYS, *[F.col(f"`{f}`").cast("double").alias(f) for f in feats]),
-                               LISTING_KEYS, feats)
-    means = long.groupBy("feature").agg(F.avg("value").alias("__mu"))
-    return long.join(F.broadcast(means), "feature").select(
-        *LISTING_KEYS, "feature", (F.col("value") - F.col("__mu")).alias("contribution")), feats
+    x = eng.select(*LISTING_KEYS, *[F.col(f"`{f}`").cast("double").alias(f) for f in feats])
+    means = x.agg(*[F.avg(f"`{f}`").alias(f"__mu{i}") for i, f in enumerate(feats)])
+    att = x.crossJoin(F.broadcast(means)).select(
+        *LISTING_KEYS, *[(F.col(f"`{f}`") - F.col(f"__mu{i}")).alias(f) for i, f in enumerate(feats)])
+    return att, feats
+
+
+def _collapsed(spark, sf):
+    att, feats = _standin_attributions(spark, sf)
+    mapping = dict(EV.column_groups(feats, ONE_HOT_COLUMNS))
+    return EV.collapse_groups_wide(att, mapping, LISTING_KEYS, features=feats)
 
 
 def _groups_df(spark):
@@ -198,23 +204,19 @@ def q_column_to_group(spark, sf):
 
 @register("collapse_groups", _explain_sql(f"SELECT {KEYS_SQL}, grp, round(contribution, 4) AS contribution FROM col"))
 def q_collapse_groups(spark, sf):
-    att, feats = _standin_attributions(spark, sf)
-    c = EV.collapse_groups(att, _mapping(spark, feats), LISTING_KEYS)
-    return c.select(*LISTING_KEYS, "grp", r4("contribution"))
+    return _collapsed(spark, sf).select(*LISTING_KEYS, "grp", r4("contribution"))
 
 
 @register("group_importance", _explain_sql("SELECT grp, round(mean_abs_contribution, 4) AS mean_abs_contribution FROM imp"))
 def q_group_importance(spark, sf):
-    att, feats = _standin_attributions(spark, sf)
-    g = EV.group_importance(EV.collapse_groups(att, _mapping(spark, feats), LISTING_KEYS), 20)
+    g = EV.group_importance(_collapsed(spark, sf), 20)
     return g.select("grp", r4("mean_abs_contribution"))
 
 
 @register("attribution_rows", _explain_sql(
     f"SELECT {KEYS_SQL}, grp, round(contribution, 4) AS contribution FROM col WHERE grp IN (SELECT grp FROM imp)"))
 def q_attribution_rows(spark, sf):
-    att, feats = _standin_attributions(spark, sf)
-    c = EV.collapse_groups(att, _mapping(spark, feats), LISTING_KEYS)
+    c = _collapsed(spark, sf)
     rows = EV.attribution_rows(c, EV.group_importance(c, 20))
     return rows.select(*LISTING_KEYS, "grp", r4("contribution"))
 
