@@ -167,10 +167,10 @@ def _groups_df(spark):
 
 
 def _long_sql():
-    num = [f"SELECT {KEYS_SQL}, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM fe"
+    num = [f"SELECT {KEYS_SQL}, sold_price AS rid_, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM fe"
            for c in NUMERIC + ["new_construction", "has_hoa", "has_garage"]]
     num[NUMERIC.index("sale_month")] = num[NUMERIC.index("sale_month")]
-    dums = [f"SELECT {KEYS_SQL}, '{c}_' || v AS feature, CASE WHEN CAST({c} AS VARCHAR) = v THEN 1.0 ELSE 0.0 END "
+    dums = [f"SELECT {KEYS_SQL}, sold_price AS rid_, '{c}_' || v AS feature, CASE WHEN CAST({c} AS VARCHAR) = v THEN 1.0 ELSE 0.0 END "
             f"AS value FROM fe, (SELECT DISTINCT CAST({c} AS VARCHAR) AS v FROM fe WHERE {c} IS NOT NULL "
             f"AND CAST({c} AS VARCHAR) > (SELECT min(CAST({c} AS VARCHAR)) FROM fe))" for c in ONE_HOT_COLUMNS]
     return ("lng AS (" + " UNION ALL ".join(num + dums) + "), "
@@ -182,7 +182,7 @@ def _long_sql():
             "OVER (PARTITION BY n.feature ORDER BY length(g.grp) DESC NULLS LAST) AS r FROM names n LEFT JOIN grps g "
             "ON starts_with(n.feature, g.grp || '_')) WHERE r = 1), "
             f"col AS (SELECT {KEYS_SQL}, grp, sum(contribution) AS contribution FROM att JOIN mapping USING (feature) "
-            f"GROUP BY {KEYS_SQL}, grp), "
+            f"GROUP BY {KEYS_SQL}, rid_, grp), "
             "imp AS (SELECT grp, avg(abs(contribution)) AS mean_abs_contribution FROM col GROUP BY grp "
             "ORDER BY mean_abs_contribution DESC, grp LIMIT 20)")
 
