@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from homeledger.functions.columns import all_of, scalar_columns
-from homeledger.session import guard_optimizer
+from homeledger.functions.quantiles import choose_method, quantile_row
+from homeledger.session import ensure_checkpoint_dir, guard_optimizer
 from homeledger.schema import IQR_MULTIPLIER, OUTLIER_COLUMNS, TARGET, VALID_STYLES
 
 
@@ -54,17 +55,20 @@ def coerce_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def iqr_bounds(df: DataFrame, columns: list[str] = OUTLIER_COLUMNS,
-               multiplier: float = IQR_MULTIPLIER) -> DataFrame:
-    """One-row table: q1/q3/lower/upper per column, all from ONE aggregate.
+               multiplier: float = IQR_MULTIPLIER, method: str = "auto") -> DataFrame:
+    """One-row table: q1/q3/lower/upper per column, all columns on the same input.
 
-    Exact linear-interpolation quartiles (``percentile``), the same on every
-    column of the same input.  The row is tiny (4 numbers per column) and is
-    joined back with a broadcast, so the whole clean stays one plan.
+    Exact linear-interpolation quartiles either way: small inputs use ONE
+    ``percentile`` aggregate inside the same plan; inputs beyond the size
+    check use the bounded-memory multi-pass method (no task holds every
+    distinct value).  The row (4 numbers per column) is broadcast back.
     """
     present = [c for c in columns if c in df.columns]
-    aggs = [F.percentile(F.expr(f"try_cast(`{c}` AS DOUBLE)"), F.array(F.lit(0.25), F.lit(0.75))).alias(f"__q_{c}")
-            for c in present]
-    q = df.agg(*aggs)
+    if choose_method(df, method) == "bounded":
+        q = quantile_row(df, present, [0.25, 0.75])
+    else:
+        q = df.agg(*[F.percentile(F.expr(f"try_cast(`{c}` AS DOUBLE)"), F.array(F.lit(0.25), F.lit(0.75)))
+                     .alias(f"__q_{c}") for c in present])
     out = []
     for c in present:
         q1 = F.col(f"__q_{c}")[0]
@@ -82,21 +86,21 @@ def _inside(c: str) -> F.Column:
 
 
 def remove_outliers_iqr(df: DataFrame, columns: list[str] = OUTLIER_COLUMNS,
-                        multiplier: float = IQR_MULTIPLIER) -> DataFrame:
+                        multiplier: float = IQR_MULTIPLIER, method: str = "auto") -> DataFrame:
     """#17: keep rows inside [Q1 - m*IQR, Q3 + m*IQR] on every column (null passes)."""
     present = [c for c in columns if c in df.columns]
     if not present:
         return df
-    b = iqr_bounds(df, present, multiplier)
+    b = iqr_bounds(df, present, multiplier, method)
     keep = all_of([F.coalesce(_inside(c), F.lit(True)) for c in present])
     return df.crossJoin(F.broadcast(b)).where(keep).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def outlier_report(df: DataFrame, columns: list[str] = OUTLIER_COLUMNS,
-                   multiplier: float = IQR_MULTIPLIER) -> DataFrame:
+                   multiplier: float = IQR_MULTIPLIER, method: str = "auto") -> DataFrame:
     """#18: per column — outliers_found, lower/upper bound, Q1, Q3, IQR (2 places)."""
     present = [c for c in columns if c in df.columns]
-    b = iqr_bounds(df, present, multiplier)
+    b = iqr_bounds(df, present, multiplier, method)
     counts = (df.crossJoin(F.broadcast(b))
                 .agg(*[F.count_if(~F.coalesce(_inside(c), F.lit(True))).alias(f"{c}__n") for c in present]))
     row = counts.crossJoin(b)
@@ -117,22 +121,32 @@ def outlier_report(df: DataFrame, columns: list[str] = OUTLIER_COLUMNS,
     return out
 
 
-def clean_steps(df: DataFrame, multiplier: float = IQR_MULTIPLIER) -> dict[str, DataFrame]:
-    """#19: the five steps in order; returns every intermediate frame (lazy)."""
+def clean_steps(df: DataFrame, multiplier: float = IQR_MULTIPLIER, method: str = "auto") -> dict[str, DataFrame]:
+    """#19: the five steps in order; returns every intermediate frame.
+
+    With the bounded quantile method (large inputs) the deduplicated,
+    filtered rows are checkpointed first (reliable, shared checkpoint dir), so
+    the quartile passes and the final filter read them instead of repeating
+    the dedup shuffle.
+    """
     guard_optimizer(df.sparkSession)
     s0 = df
     s1 = drop_empty_rows(s0)
     s2 = deduplicate(s1)
     s3 = remove_missing_target(s2)
     s4 = filter_style(s3)
-    s5 = remove_outliers_iqr(s4, OUTLIER_COLUMNS, multiplier)
+    method = choose_method(s4, method)
+    if method == "bounded":
+        ensure_checkpoint_dir(df.sparkSession)
+        s4 = s4.checkpoint()
+    s5 = remove_outliers_iqr(s4, OUTLIER_COLUMNS, multiplier, method)
     return {"raw": s0, "non_empty": s1, "deduplicated": s2, "with_target": s3,
             "style_filtered": s4, "cleaned": s5}
 
 
-def clean_data(df: DataFrame, multiplier: float = IQR_MULTIPLIER) -> DataFrame:
+def clean_data(df: DataFrame, multiplier: float = IQR_MULTIPLIER, method: str = "auto") -> DataFrame:
     """#19: cleaned listings."""
-    return clean_steps(df, multiplier)["cleaned"]
+    return clean_steps(df, multiplier, method)["cleaned"]
 
 
 def cleaning_log(df: DataFrame, multiplier: float = IQR_MULTIPLIER) -> DataFrame:
