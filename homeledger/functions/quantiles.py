@@ -154,9 +154,18 @@ BOUNDED_ABOVE_BYTES = 8 << 30
 
 
 def plan_size_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` (no job runs)."""
+    """Bytes of the inputs ``df`` scans (sum over the plan's leaf relations; no job runs).
+
+    The estimate of the plan's own output is not used: without column
+    statistics Catalyst multiplies join sides, which overstates by orders of
+    magnitude.  The scanned bytes are what the quantile passes would re-read.
+    """
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        it = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
+        total = 0
+        while it.hasNext():
+            total += int(str(it.next().stats().sizeInBytes()))
+        return total
     except Exception:  # noqa: BLE001 - estimate unavailable
         return None
 
