@@ -111,3 +111,17 @@ def q_append_run_log(spark, sf):
           f"(kind = 'param' AND key NOT IN ({', '.join(repr(s) for s in SKIP_PARAMS)}))")
 def q_run_summary(spark, sf):
     return io.run_summary(_run_log(spark, sf), CLEAN_METRICS, SKIP_PARAMS)
+
+
+@register("write_report")
+def q_write_report(spark, sf):
+    """#8: the cleaning log and suite summary written as one JSON report row, read back."""
+    lst = listings(spark, sf)
+    log = C.cleaning_log(lst)
+    summ = Q.summarize_suite(Q.evaluate_suite(C.clean_data(lst)))
+    row = log.crossJoin(summ).select(F.struct(*log.columns).alias("cleaning_log"),
+                                     F.struct(*summ.columns).alias("validation"),
+                                     F.lit(TS1).alias("timestamp"))
+    path = scratch_path(spark, "report")
+    io.write_reports(row, path)
+    return spark.read.schema(row.schema).json(path)

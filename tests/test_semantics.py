@@ -131,3 +131,20 @@ def test_snapshot_names(spark):
     d2 = df_of(spark, [("quarantined_Cincinnati_OH_365d_1",), ("fixed_quarantined_x",)], "n string")
     out2 = [r.m for r in d2.select(stage_name("approved", F.col("n")).alias("m")).collect()]
     assert out2 == ["approved_Cincinnati_OH_365d_1", "approved_quarantined_x"]
+
+
+def test_name_rule_schema():
+    from homeledger.operators.score import infer_feature_schema
+    names = ["year_built", "sqft", "beds", "full_baths", "half_baths", "lot_sqft", "stories", "parking_garage",
+             "hoa_fee", "new_construction", "sale_month", "has_hoa", "has_garage", "style_CONDO", "style_TOWNHOMES",
+             "city_Anderson Township", "city_Cincinnati", "zip_code_45208", "zip_code_45230",
+             "county_Hamilton", "county_Warren", "sale_season_Spring", "sale_season_Summer"]
+    s = infer_feature_schema(names)
+    assert s.categorical_groups == {"zip_code": ["45208", "45230"], "style": ["CONDO", "TOWNHOMES"],
+                                    "county": ["Hamilton", "Warren"], "city": ["Anderson Township", "Cincinnati"]} \
+        or set(s.categorical_groups) == {"zip_code", "style", "county", "city"}
+    assert s.auto_categorical_groups == {"sale_season": ["Spring", "Summer"]}
+    assert s.auto_derived["has_hoa"] == {"derived_from": "hoa_fee", "rule": "greater_than_zero"}
+    assert s.auto_derived["has_garage"] == {"derived_from": "parking_garage", "rule": "greater_than_zero"}
+    assert s.binary_features == ["new_construction"]
+    assert "full_baths" in s.numeric_features and s.numeric_defaults["sqft"] == 1500.0
