@@ -28,7 +28,9 @@ SKIP_PARAMS = ["outlier_columns"]
           f"TRY_CAST(list_date AS DATE) >= DATE '{AS_OF}' - INTERVAL 365 DAY AND "
           f"TRY_CAST(list_date AS DATE) <= DATE '{AS_OF}'")
 def q_pull_listings(spark, sf):
-    return io.pull_listings(listings(spark, sf), "NATION_3, OH", "sold", 365, AS_OF)
+    """Over the stored listing table, so city/state/status reach the Parquet scan."""
+    stored = io.read_listings(spark, io.materialize_listings_parquet(spark, sf), fmt="parquet")
+    return io.pull_listings(stored, "NATION_3, OH", "sold", 365, AS_OF)
 
 
 @register("write_snapshot", lambda: with_listings() +

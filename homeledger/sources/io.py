@@ -42,6 +42,18 @@ def materialize_listings_csv(spark: SparkSession, sf_dir: str) -> str:
     return _MATERIALIZED[key]
 
 
+def materialize_listings_parquet(spark: SparkSession, sf_dir: str) -> str:
+    """Write the listings view once as a Parquet table (the stored listing table)."""
+    from homeledger.sources.fixture import listings
+
+    key = (spark.sparkContext.applicationId, sf_dir, "parquet")
+    if key not in _MATERIALIZED:
+        path = scratch_path(spark, "listings-parquet")
+        listings(spark, sf_dir).write.mode("errorifexists").parquet(path)
+        _MATERIALIZED[key] = path
+    return _MATERIALIZED[key]
+
+
 def strip_known_prefix(name):
     """Remove ONE leading verb prefix (validated_, quarantined_, …) from a snapshot name."""
     expr = F.when(F.lit(False), name)
