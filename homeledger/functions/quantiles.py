@@ -161,10 +161,13 @@ def plan_size_bytes(df: DataFrame) -> int | None:
     magnitude.  The scanned bytes are what the quantile passes would re-read.
     """
     try:
-        it = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
+        it = df._jdf.queryExecution().analyzed().collectLeaves().iterator()
         total = 0
         while it.hasNext():
-            total += int(str(it.next().stats().sizeInBytes()))
+            size = int(str(it.next().stats().sizeInBytes()))
+            if size >= (1 << 62):  # unknown (e.g. an RDD leaf): assume large
+                return None
+            total += size
         return total
     except Exception:  # noqa: BLE001 - estimate unavailable
         return None

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from homeledger.functions.columns import all_of, scalar_columns
 from homeledger.functions.quantiles import choose_method, quantile_row
-from homeledger.session import ensure_checkpoint_dir, guard_optimizer
+from homeledger.session import ensure_checkpoint_dir, guard_optimizer, materialize
 from homeledger.schema import IQR_MULTIPLIER, OUTLIER_COLUMNS, TARGET, VALID_STYLES
 
 
@@ -125,7 +125,7 @@ def clean_steps(df: DataFrame, multiplier: float = IQR_MULTIPLIER, method: str =
     """#19: the five steps in order; returns every intermediate frame.
 
     With the bounded quantile method (large inputs) the deduplicated,
-    filtered rows are checkpointed first (reliable, shared checkpoint dir), so
+    filtered rows are first written as a table in the shared checkpoint dir, so
     the quartile passes and the final filter read them instead of repeating
     the dedup shuffle.
     """
@@ -138,7 +138,7 @@ def clean_steps(df: DataFrame, multiplier: float = IQR_MULTIPLIER, method: str =
     method = choose_method(s4, method)
     if method == "bounded":
         ensure_checkpoint_dir(df.sparkSession)
-        s4 = s4.checkpoint()
+        s4 = materialize(s4, "clean-filtered")
     s5 = remove_outliers_iqr(s4, OUTLIER_COLUMNS, multiplier, method)
     return {"raw": s0, "non_empty": s1, "deduplicated": s2, "with_target": s3,
             "style_filtered": s4, "cleaned": s5}

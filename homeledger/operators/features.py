@@ -20,7 +20,7 @@ from homeledger.schema import (
     DEFAULT_MONTH, DEFAULT_SEASON, LISTING_KEYS, MEDIAN_IMPUTE_PLAN, NON_FEATURE_COLUMNS,
     ONE_HOT_COLUMNS,
 )
-from homeledger.session import ensure_checkpoint_dir, guard_optimizer
+from homeledger.session import ensure_checkpoint_dir, guard_optimizer, materialize
 
 MAX_CATEGORIES = 10_000  # per one-hot column; more is a modelling error, not a bound on rows
 
@@ -77,16 +77,20 @@ def impute_absence(df: DataFrame) -> DataFrame:
 
 def _group_fill(df: DataFrame, cols: list[str], keys: list[str]) -> DataFrame:
     """Fill ``cols`` from their group medians over ``keys``, then from the global
-    median of the filled column (a null key gets no group median)."""
+    median of the filled column (a null key gets no group median).
+
+    Group medians: one grouped aggregate, joined back through a bounded
+    broadcast.  Global medians: one-row aggregate fetched once and inlined as
+    literals, so later jobs on the result do not recompute it.
+    """
     meds = (df.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
               .groupBy(*keys).agg(*[F.median(c).alias(f"__g_{c}") for c in cols]))
     j = df.join(bounded_broadcast(meds), keys, "left")
     filled = j.select(*[F.coalesce(F.col(c).cast("double"), F.col(f"__g_{c}")).alias(c) if c in cols
                         else F.col(f"`{c}`") for c in df.columns])
-    glob = filled.agg(*[F.median(c).alias(f"__m_{c}") for c in cols])
-    return filled.crossJoin(F.broadcast(glob)).select(
-        *[F.coalesce(F.col(c), F.col(f"__m_{c}")).alias(c) if c in cols else F.col(f"`{c}`")
-          for c in df.columns])
+    glob = filled.agg(*[F.median(c).alias(c) for c in cols]).collect()[0]
+    return filled.select(*[F.coalesce(F.col(c), F.lit(glob[c]).cast("double")).alias(c) if c in cols
+                           else F.col(f"`{c}`") for c in df.columns])
 
 
 def grouped_median_impute(df: DataFrame, col: str, keys: list[str]) -> DataFrame:
@@ -172,24 +176,27 @@ def feature_pipeline(df: DataFrame, run: FeatureRun | None = None,
                      keep: list[str] = LISTING_KEYS, checkpoint: bool = True) -> DataFrame:
     """#50: the transforms in order.  ``keep`` columns ride along as row ids.
 
-    ``checkpoint=True`` (default) cuts lineage after the row filters: the rows
-    are written once to the shared checkpoint dir (reliable; survives executor
-    loss) and the mode, median and category passes read that copy instead of
-    recomputing the upstream joins, dedup and quartiles.
+    ``checkpoint=True`` (default) cuts lineage twice with Parquet tables in the
+    shared checkpoint dir (both survive executor loss): the input snapshot
+    (after the column drops) is written once, so the mode, median and category
+    passes scan it instead of recomputing the upstream joins, dedup and
+    quartiles; the engineered output is written for training and scoring.
     """
     guard_optimizer(df.sparkSession)
     run = run if run is not None else FeatureRun()
     ensure_checkpoint_dir(df.sparkSession)
     out = drop_unnecessary_columns(df); run.applied.append("drop_non_feature_columns")
     out = drop_days_on_mls(out); run.applied.append("drop_days_on_mls")
+    if checkpoint:  # the pipeline's input snapshot, minus the dropped columns
+        out = materialize(out, "features-input")
     out = list_date_features(out); run.applied.append("extract_list_date_features")
     out = drop_null_style_city(out); run.applied.append("drop_near_zero_null_rows")
-    if checkpoint:
-        out = out.checkpoint()
     out = impute_absence(out); run.applied.append("impute_high_null_columns")
     out = impute_low_null(out); run.applied.append("grouped_median_impute_low_null")
     out, cats = one_hot_encode(out); run.applied.append("one_hot_encode_categoricals")
     run.categories = cats
+    if checkpoint:  # the engineered snapshot: training, bounds and scoring all read it
+        out = materialize(out, "engineered")
     run.applied.append("final_null_audit")
     return out
 
