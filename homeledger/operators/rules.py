@@ -46,9 +46,10 @@ def filter_rule_log(df: DataFrame, rules: list[str], order_by: list[str]) -> Dat
                      for i, r in enumerate(parsed)])
     log = counts.select(F.inline(meta))
 
-    hits = df.select(*[F.col(c) for c in order_by], F.explode(F.array(*[
+    matched = F.filter(F.array(*[
         F.when(p, F.struct(F.lit(i).alias("rule_id"), F.col(f"`{r.column}`").cast("string").alias("v")))
-        for i, (r, p) in enumerate(zip(parsed, preds))])).alias("h")).where(F.col("h").isNotNull())
+        for i, (r, p) in enumerate(zip(parsed, preds))]), lambda h: h.isNotNull())
+    hits = df.select(*[F.col(c) for c in order_by], F.explode(matched).alias("h"))
     w = Window.partitionBy("h.rule_id").orderBy(*order_by)
     top = (hits.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= SAMPLE_SIZE)
            .groupBy(F.col("h.rule_id").alias("rule_id"))
