@@ -152,16 +152,26 @@ def clean_data(df: DataFrame, multiplier: float = IQR_MULTIPLIER, method: str =
 def cleaning_log(df: DataFrame, multiplier: float = IQR_MULTIPLIER) -> DataFrame:
     """#35: rows before/after, rows dropped per step, total and percent removed.
 
-    One count per step boundary; the dedup and quartile aggregates are shared
-    sub-plans that AQE reuses through exchange reuse.
+    Two aggregates instead of one count per step: raw and non-empty counts in
+    one pass over the input; the deduplicated rows are counted with flags for
+    target present, style kept and inside the fences (fences from the
+    style-filtered rows, broadcast as one row) in one pass over the dedup
+    output.
     """
-    steps = clean_steps(df, multiplier)
-    names = ["raw", "non_empty", "deduplicated", "with_target", "style_filtered", "cleaned"]
-    counts = None
-    for n in names:
-        c = steps[n].agg(F.count(F.lit(1)).alias(n))
-        counts = c if counts is None else counts.crossJoin(c)
-    return counts.select(
+    guard_optimizer(df.sparkSession)
+    non_empty = ~F.lit(True) if not df.columns else ~all_of([F.col(f"`{c}`").isNull() for c in df.columns])
+    raw = df.agg(F.count(F.lit(1)).alias("raw"), F.count_if(non_empty).alias("non_empty"))
+    d = deduplicate(drop_empty_rows(df))
+    has_target = F.col(TARGET).isNotNull()
+    style_ok = F.col("style").isin(VALID_STYLES) | F.col("style").isNull()
+    present = [c for c in OUTLIER_COLUMNS if c in df.columns]
+    fences = iqr_bounds(filter_style(remove_missing_target(d)), present, multiplier)
+    inside = all_of([F.coalesce(_inside(c), F.lit(True)) for c in present])
+    counts = d.crossJoin(F.broadcast(fences)).agg(
+        F.count(F.lit(1)).alias("deduplicated"), F.count_if(has_target).alias("with_target"),
+        F.count_if(has_target & style_ok).alias("style_filtered"),
+        F.count_if(has_target & style_ok & inside).alias("cleaned"))
+    return raw.crossJoin(counts).select(
         F.col("raw").alias("raw_rows"),
         F.lit(len(df.columns)).alias("raw_columns"),
         (F.col("raw") - F.col("non_empty")).alias("empty_rows_dropped"),
