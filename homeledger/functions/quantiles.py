@@ -26,6 +26,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from homeledger.functions.small import plan_size_bytes
+
 SKETCH_K = 8192
 MAX_LOCAL = 50_000
 MAX_ROUNDS = 12
@@ -153,26 +155,6 @@ def _finish(df, columns, probs, state, items, result) -> None:
 BOUNDED_ABOVE_BYTES = 8 << 30
 
 
-def plan_size_bytes(df: DataFrame) -> int | None:
-    """Bytes of the inputs ``df`` scans (sum over the plan's leaf relations; no job runs).
-
-    The estimate of the plan's own output is not used: without column
-    statistics Catalyst multiplies join sides, which overstates by orders of
-    magnitude.  The scanned bytes are what the quantile passes would re-read.
-    """
-    try:
-        it = df._jdf.queryExecution().analyzed().collectLeaves().iterator()
-        total = 0
-        while it.hasNext():
-            size = int(str(it.next().stats().sizeInBytes()))
-            if size >= (1 << 62):  # unknown (e.g. an RDD leaf): assume large
-                return None
-            total += size
-        return total
-    except Exception:  # noqa: BLE001 - estimate unavailable
-        return None
-
-
 def choose_method(df: DataFrame, method: str = "auto") -> str:
     """'exact' (one-pass ``percentile``) for small inputs, 'bounded' beyond the size check."""
     if method != "auto":

@@ -24,3 +24,41 @@ def bounded_broadcast(stats: DataFrame, cap: int = MAX_BROADCAST_ROWS) -> DataFr
         return stats
     spark = stats.sparkSession
     return F.broadcast(spark.createDataFrame(rows, stats.schema))
+
+
+def plan_size_bytes(df: DataFrame) -> int | None:
+    """Bytes of the inputs ``df`` scans (sum over the analyzed plan's leaf relations;
+    no job runs).  None when a leaf's size is unknown (e.g. an RDD).
+
+    The estimate of the plan's own output is not used: without column
+    statistics Catalyst multiplies join sides, which overstates by orders of
+    magnitude.
+    """
+    try:
+        it = df._jdf.queryExecution().analyzed().collectLeaves().iterator()
+        total = 0
+        while it.hasNext():
+            size = int(str(it.next().stats().sizeInBytes()))
+            if size >= (1 << 62):
+                return None
+            total += size
+        return total
+    except Exception:  # noqa: BLE001 - estimate unavailable
+        return None
+
+
+def broadcast_threshold(spark) -> int:
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1 disables broadcasts)."""
+    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for u in sorted(units, key=len, reverse=True):
+        if raw.endswith(u):
+            return int(float(raw[: -len(u)]) * units[u])
+    return int(raw)
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """Broadcast ``df`` when the bytes it scans are within Spark's broadcast threshold."""
+    limit = broadcast_threshold(df.sparkSession)
+    size = plan_size_bytes(df)
+    return F.broadcast(df) if limit >= 0 and size is not None and size <= limit else df

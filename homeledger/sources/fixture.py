@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from homeledger.schema import LISTING_COLUMNS
+from homeledger.functions.small import broadcast_if_small
 from homeledger.session import guard_optimizer
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -43,7 +44,9 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     geo = F.broadcast(n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey))
     # orders x customer first: the lineitem-sized rows are then shuffled twice
     # (by order key, by part key) instead of three times.
-    oc = o.join(c, o.o_custkey == c.c_custkey).join(geo, c.c_nationkey == geo.n_nationkey)
+    # One customer per order, so the orders-side result is no bigger than what it
+    # scans: broadcast it when those bytes are within Spark's threshold.
+    oc = broadcast_if_small(o.join(c, o.o_custkey == c.c_custkey).join(geo, c.c_nationkey == geo.n_nationkey))
     j = l.join(oc, l.l_orderkey == oc.o_orderkey).join(p, l.l_partkey == p.p_partkey)
 
     ok, pk, sk, ln = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
