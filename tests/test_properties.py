@@ -94,3 +94,12 @@ def test_score_gate_order(spark):
     assert out[3].status_code == 400 and out[3].detail.startswith("Unknown categorical group 'zip'")
     assert out[4].status_code == 200 and len(out[4].warnings) == 1 and out[4].warnings[0].startswith("Beds (4.5)")
     assert out[5].status_code == 400 and out[5].detail == "Invalid value '' for 'style'. Options: ['CONDO']"
+
+
+def test_input_summary_later_map_wins(spark):
+    from homeledger.operators.score import input_summary
+    req = spark.createDataFrame([({"beds": 3.0, "x": 1.0}, {"x": "two", "city": None}, {"flag": True})],
+                                "numeric map<string,double>, categorical map<string,string>, binary map<string,boolean>")
+    r = req.select(input_summary(req).alias("m")).select("m", F.map_keys("m").alias("k")).collect()[0]
+    assert r.m == {"beds": "3.0", "x": "two", "city": None, "flag": "true"}
+    assert r.k == ["beds", "x", "city", "flag"]
