@@ -98,8 +98,8 @@ def test_score_gate_order(spark):
 
 def test_input_summary_later_map_wins(spark):
     from homeledger.operators.score import input_summary
-    req = spark.createDataFrame([({"beds": 3.0, "x": 1.0}, {"x": "two", "city": None}, {"flag": True})],
-                                "numeric map<string,double>, categorical map<string,string>, binary map<string,boolean>")
+    req = spark.sql("SELECT map('beds', 3.0D, 'x', 1.0D) AS numeric, "
+                    "map('x', 'two', 'city', CAST(NULL AS STRING)) AS categorical, map('flag', true) AS binary")
     r = req.select(input_summary(req).alias("m")).select("m", F.map_keys("m").alias("k")).collect()[0]
     assert r.m == {"beds": "3.0", "x": "two", "city": None, "flag": "true"}
     assert r.k == ["beds", "x", "city", "flag"]
