@@ -1,0 +1,31 @@
+"""Size-checked broadcasts: hinted within the bound, left to the planner beyond it."""
+
+from pyspark.sql import functions as F
+
+
+def _hinted(df):
+    return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_bounded_broadcast_cap(spark):
+    from homeledger.functions.small import bounded_broadcast
+    stats = spark.range(0, 50).groupBy((F.col("id") % 10).alias("k")).agg(F.count("*").alias("n"))
+    small = bounded_broadcast(stats, cap=100)
+    assert _hinted(small) and small.count() == 10
+    big = bounded_broadcast(stats, cap=5)
+    assert not _hinted(big) and big.count() == 10  # beyond the cap: same rows, no hint
+
+
+def test_broadcast_if_small_uses_scanned_bytes(spark, tmp_path):
+    from homeledger.functions.small import broadcast_if_small, broadcast_threshold, plan_size_bytes
+    p = str(tmp_path / "t")
+    spark.range(0, 1000).write.parquet(p)
+    df = spark.read.parquet(p)
+    assert 0 < plan_size_bytes(df) < broadcast_threshold(spark)
+    assert _hinted(broadcast_if_small(df))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert not _hinted(broadcast_if_small(df))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
