@@ -23,6 +23,21 @@ def worker_state(name: str, factory):
     return getattr(box, name)
 
 
+def ship(spark, model):
+    """Broadcast a model's plain state; the returned function builds the model anew in a worker.
+
+    Broadcasts are unpickled by name, classes of this package travel by value.
+    """
+    kind, held = type(model), spark.sparkContext.broadcast(model.__getstate__())
+
+    def load():
+        out = kind.__new__(kind)
+        (getattr(out, "__setstate__", None) or out.__dict__.update)(held.value)
+        return out
+
+    return load
+
+
 def id_and_text(docs: DataFrame) -> DataFrame:
     """``doc_id`` (as it is) and ``text`` (null: empty); every other column is left behind."""
     return docs.select(F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
