@@ -25,12 +25,30 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), word_tokenizer())
 
 
+def op3_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from homeledger.llm.ppm import identify
+
+    return identify(_table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from homeledger.llm.quality_rules import quality_rules
 
     return quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op6_pigeonhole_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from homeledger.llm.pigeonhole import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
+def op7_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from homeledger.llm.string_kernel import toxicity
+
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from homeledger.llm.simhash import near_duplicates
 
@@ -38,7 +56,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op2_packing, op5_quality_rules, op10_simhash)}
+    return {f.__name__: f for f in (op2_packing, op3_ppm_language, op5_quality_rules, op6_pigeonhole_join,
+                                        op7_string_kernel, op10_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from homeledger.llm.shared import id_and_text, min_reachable
+from homeledger.llm.shared import fresh_name, id_and_text, min_reachable
 from homeledger.session import materialize
 
 BITS = 64
@@ -94,7 +94,9 @@ def links(fps: DataFrame, distance: int = 2, hot: int = 1024) -> DataFrame:
     """(u, v) with u < v: all pairs of distinct values of ``fp`` at ``distance`` bits or fewer, once each."""
     pieces = distance // 2 + 1
     levels = 3 if pieces == 2 else 1
-    base = fps.select("fp").distinct().withColumn("lo", F.lit(0)).withColumn("key", F.lit(0).cast("long"))
+    # a fingerprint becomes 64 rows: spread them before, as the small table itself fits few partitions
+    spread = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    base = fps.select("fp").distinct().repartition(spread, "fp").withColumn("lo", F.lit(0)).withColumn("key", F.lit(0).cast("long"))
     carry, conds, out = ["fp", "lo", "key"], [], []
     for level in range(levels):
         lo, tag = f"lo{level}", f"t{level}"
@@ -121,6 +123,17 @@ def links(fps: DataFrame, distance: int = 2, hot: int = 1024) -> DataFrame:
     return found
 
 
+def _classes(fp: DataFrame, distance: int) -> DataFrame:
+    """(fp, n_copies, root, component_id) of every fingerprint of ``fp`` (doc_id, fp)."""
+    reps = materialize(fp.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n_copies")),
+                       "simhash-reps")
+    roots = materialize(min_reachable(links(reps, distance), "simhash"), "simhash-roots")
+    named = reps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
+        "root", F.coalesce("root", "fp"))
+    first = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    return named.join(first, "root").select("fp", "n_copies", "root", "component_id")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
     """Fingerprint and component of every document.
 
@@ -134,12 +147,30 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2) -> Dat
     empty result; other columns are ignored, whatever their names.
     """
     fp = materialize(fingerprints(docs, shingle), "simhash-fp")
-    reps = materialize(fp.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n_copies")),
-                       "simhash-reps")
-    roots = materialize(min_reachable(links(reps, distance), "simhash"), "simhash-roots")
-    named = reps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "root", F.coalesce("root", "fp"))
-    first = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = named.join(first, "root").select("fp", "n_copies", "component_id")
-    return fp.join(classes, "fp").select(
+    return fp.join(_classes(fp, distance), "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "n_copies")
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
+    """One row of each near-duplicate group of ``docs``, all columns.
+
+    The row with the group's smallest ``doc_id`` stays (of several with that id
+    the one whose text has the smallest hash; of repeated rows one).  Rows with
+    a null id stay only in groups where all ids are null.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    mark, key = fresh_name(docs, "simhash_text"), ["doc_id", "h"]
+    fp = materialize(fingerprints(docs.withColumn("doc_id", F.struct(F.col("doc_id"), F.xxhash64(text).alias("h"))),
+                                  shingle), "simhash-fp")
+    ids = fp.select("doc_id.doc_id", "doc_id.h", "fp")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), *key)).alias("best")
+    stays = (ids.join(_classes(ids, distance), "fp").groupBy("root").agg(best)
+             .select(F.coalesce("best.doc_id", F.lit(0)).alias("w_id"), F.col("best.none").alias("w_none"),
+                     F.col("best.h").alias("w_h")))
+    id_col = F.col("doc_id")
+    rows = docs.withColumn(mark, F.struct(F.coalesce(id_col, F.lit(0)).alias("i"), id_col.isNull().alias("none"),
+                                          F.xxhash64(text).alias("h")))
+    m = F.col(mark)
+    one = rows.dropDuplicates([mark])
+    return one.join(stays, (m["i"] == F.col("w_id")) & (m["none"] == F.col("w_none")) & (m["h"] == F.col("w_h")),
+                    "left_semi").drop(mark)

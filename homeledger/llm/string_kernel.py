@@ -228,13 +228,26 @@ def _kernel(words: list[str], codes, marks):
     return out
 
 
+def padded(word: str) -> list[str]:
+    """The word with one foreign letter at each inner place (letters in turn), and with each letter doubled."""
+    turn = "xaiueonrtsl"
+    return [word[:i] + turn[(i + len(word)) % len(turn)] + word[i:] for i in range(1, len(word))] + [
+        word[:i] + word[i - 1:] for i in range(1, len(word))]
+
+
 def fit(witness: dict[str, int], negative: dict[str, int], landmarks: int = LANDMARKS) -> SubsequenceScorer:
     """SVM in the landmarks' Nyström space; values are how often each unit was drawn.
 
     Landmarks: the most frequent witnesses (half) and negative units (half).
+    Padded forms of the landmark witnesses are positive examples too, sharing
+    the weight of the plain form, unless they are words of clean texts.
     """
     import numpy as np
 
+    for u in sorted(witness, key=lambda u: (-witness[u], u))[: landmarks // 2]:
+        if negative.get(u, 0) < witness[u]:
+            more = [v for v in padded(u) if v not in negative and v not in witness]
+            witness = witness | {v: witness[u] / len(more) for v in more}
     pos = sorted(witness, key=lambda u: (-witness[u], u))
     neg = sorted(negative, key=lambda u: (-negative[u], u))
     marks = pos[: landmarks // 2]

@@ -3,11 +3,24 @@
 from __future__ import annotations
 
 import re
+from array import array
 
 #: Words kept per Python worker before the cache starts anew.
-CACHE_WORDS = 600_000
-# The tokenizer's own pre-token pattern, for lower-case ASCII.
-_ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+CACHE_WORDS = 1_000_000
+# Letters whose lower case and composed form are plain one-to-one steps.
+_LATIN = "À-ÖØ-öø-ÿĀ-įı-ſ"
+_PLAIN = re.compile(f"[!-~{_LATIN}]+").fullmatch
+# The tokenizer's own pre-token pattern, for lower-case words of those letters.
+_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LATIN}]+|[0-9]|[^\\sa-z0-9{_LATIN}]+").findall
+
+
+def byte_letters() -> dict[int, str]:
+    """Character -> the printable stand-ins of its UTF-8 bytes (byte-level BPE): printable bytes
+    stand for themselves, the others for U+0100 onwards in order."""
+    keep = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    stand = {b: chr(b) for b in keep}
+    stand |= {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in stand)}
+    return {c: "".join(stand[b] for b in chr(c).encode()) for c in range(0xC0, 0x180)}
 
 
 class WordIds(dict):
@@ -15,8 +28,9 @@ class WordIds(dict):
 
     Ids take 2 bytes when the vocabulary has at most 65,536 of them, else 4.
     Cutting a text at ASCII white space never changes its ids: every
-    normalisation and pre-token pattern of the tokenizer stops there.  Printable
-    ASCII words go to the BPE model at once; others take the tokenizer's whole path.
+    normalisation and pre-token pattern of the tokenizer stops there.  Words of
+    printable ASCII and plain Latin letters go to the BPE model at once; others
+    take the tokenizer's whole path.
     """
 
     def __init__(self, path: str):
@@ -25,17 +39,23 @@ class WordIds(dict):
         super().__init__()
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.model = self.tok.model
-        self.dtype = "<u2" if self.tok.get_vocab_size() <= 65_536 else "<u4"
-        self.size = int(self.dtype[-1])
+        self.bpe = self.tok.model.tokenize
+        self.letters = byte_letters()
+        self.code = "H" if self.tok.get_vocab_size() <= 65_536 else "I"
+        self.size = array(self.code).itemsize
+        self.dtype = f"<u{self.size}"
 
     def __missing__(self, word: bytes) -> bytes:
         text = word.decode()
-        if text.isascii() and text.isprintable():
-            ids = [t.id for part in _ASCII.findall(text.lower()) for t in self.model.tokenize(part)]
+        if _PLAIN(text):
+            text = text.lower()
+            parts = (text,) if text.isalpha() else _PARTS(text)
+            if not text.isascii():
+                parts = [p.translate(self.letters) for p in parts]
+            ids = [t.id for p in parts for t in self.bpe(p)]
         else:
             ids = self.tok.encode(text, add_special_tokens=False).ids
-        out = b"".join(i.to_bytes(self.size, "little") for i in ids)
+        out = array(self.code, ids).tobytes()
         if len(self) >= CACHE_WORDS:
             self.clear()
         self[word] = out
