@@ -5,8 +5,10 @@ from __future__ import annotations
 import re
 from array import array
 
+from homeledger.llm.shared import worker_state
+
 #: Words kept per Python worker before the cache starts anew.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 800_000
 # Letters whose lower case and composed form are plain one-to-one steps.
 _LATIN = "À-ÖØ-öø-ÿĀ-įı-ſ"
 _PLAIN = re.compile(f"[!-~{_LATIN}]+").fullmatch
@@ -23,6 +25,22 @@ def byte_letters() -> dict[int, str]:
     return {c: "".join(stand[b] for b in chr(c).encode()) for c in range(0xC0, 0x180)}
 
 
+class PartIds(dict):
+    """Lower-case pre-token -> its ids: words that differ in case or punctuation share them."""
+
+    def __init__(self, bpe, code: str):
+        super().__init__()
+        self.bpe, self.code, self.letters = bpe, code, byte_letters()
+
+    def __missing__(self, part: str) -> bytes:
+        plain = part if part.isascii() else part.translate(self.letters)
+        out = array(self.code, [t.id for t in self.bpe(plain)]).tobytes()
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        self[part] = out
+        return out
+
+
 class WordIds(dict):
     """Word (UTF-8, no ASCII white space) -> its ids as little-endian bytes.
 
@@ -39,9 +57,8 @@ class WordIds(dict):
         super().__init__()
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.bpe = self.tok.model.tokenize
-        self.letters = byte_letters()
         self.code = "H" if self.tok.get_vocab_size() <= 65_536 else "I"
+        self.parts = PartIds(self.tok.model.tokenize, self.code)
         self.size = array(self.code).itemsize
         self.dtype = f"<u{self.size}"
 
@@ -50,12 +67,9 @@ class WordIds(dict):
         if _PLAIN(text):
             text = text.lower()
             parts = (text,) if text.isalpha() else _PARTS(text)
-            if not text.isascii():
-                parts = [p.translate(self.letters) for p in parts]
-            ids = [t.id for p in parts for t in self.bpe(p)]
+            out = b"".join(map(self.parts.__getitem__, parts))
         else:
-            ids = self.tok.encode(text, add_special_tokens=False).ids
-        out = array(self.code, ids).tobytes()
+            out = array(self.code, self.tok.encode(text, add_special_tokens=False).ids).tobytes()
         if len(self) >= CACHE_WORDS:
             self.clear()
         self[word] = out
@@ -67,8 +81,6 @@ class WordIds(dict):
 
 def word_ids(path: str) -> WordIds:
     """The worker's tokenizer for ``path``."""
-    from homeledger.llm.shared import worker_state
-
     held = worker_state("word_ids", dict)
     if path not in held:
         held[path] = WordIds(path)
