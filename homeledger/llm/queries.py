@@ -19,6 +19,19 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def piece_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op1_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from homeledger.llm.separator_scan import token_counts
+
+    # 49407 ends a document; ordinary text never gives it
+    return token_counts(_table(spark, sf_dir, "documents"), word_tokenizer(), end_id=49407)
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from homeledger.llm.packing import pack
 
@@ -49,6 +62,18 @@ def op7_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op8_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from homeledger.llm.cross_entropy import cross_entropy_difference
+
+    return cross_entropy_difference(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op9_piece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from homeledger.llm.piece_viterbi import round_trip
+
+    return round_trip(_table(spark, sf_dir, "documents"), piece_model())
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from homeledger.llm.simhash import near_duplicates
 
@@ -56,8 +81,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op2_packing, op3_ppm_language, op5_quality_rules, op6_pigeonhole_join,
-                                        op7_string_kernel, op10_simhash)}
+    return {f.__name__: f for f in (
+        op1_separator_scan, op2_packing, op3_ppm_language, op5_quality_rules, op6_pigeonhole_join,
+        op7_string_kernel, op8_cross_entropy, op9_piece_viterbi, op10_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
