@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from homeledger.llm.shared import fresh_name, worker_state
 
 MARK = "▁"
-CACHE_WORDS = 800_000
+CACHE_WORDS = 200_000
 UNKNOWN_PENALTY = 10.0
 
 

@@ -150,8 +150,8 @@ class SubsequenceScorer:
         clean = [unit_of(w) for w in raw]
         letters = sorted(set(clean))
         value = {}
-        for lo in range(0, len(letters), 20_000):
-            part = letters[lo:lo + 20_000]
+        for lo in range(0, len(letters), 5_000):
+            part = letters[lo:lo + 5_000]
             value.update(zip(part, self.decide(part).tolist()))
         by_raw = {w: value[u] for w, u in zip(raw, clean)}
         return np.array([max(map(by_raw.__getitem__, b), default=self.bias) for b in bags], float)
@@ -391,7 +391,7 @@ def predictor(spark, scorer: SubsequenceScorer):
             score, part, n = [], [], 0
             for t in texts:
                 t = t if isinstance(t, str) else ""
-                if part and n + len(t) > 4_000_000:
+                if part and n + len(t) > 1_000_000:
                     score.append(model.score(part))
                     part, n = [], 0
                 part.append(t)

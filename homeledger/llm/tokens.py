@@ -8,7 +8,7 @@ from array import array
 from homeledger.llm.shared import worker_state
 
 #: Words kept per Python worker before the cache starts anew.
-CACHE_WORDS = 800_000
+CACHE_WORDS = 200_000
 # Letters whose lower case and composed form are plain one-to-one steps.
 _LATIN = "À-ÖØ-öø-ÿĀ-įı-ſ"
 _PLAIN = re.compile(f"[!-~{_LATIN}]+").fullmatch
