@@ -1,171 +1,73 @@
-"""Exact quantiles with bounded memory (linear interpolation, like ``percentile``).
-
-``percentile`` is exact but keeps a value->count map of EVERY distinct value
-in the one task that finishes a global aggregate; a cents-resolution price
-column at 100 TB can hold ~10^8 of them.  This routine keeps every task's
-state bounded instead:
-
-1. one aggregate: non-null count n and a KLL sketch per column, read at
-   p ± margin -> a bracket [lo, hi] around each wanted order statistic;
-2. one aggregate per refinement round: rows below the bracket, rows and
-   (approx.) distinct values inside it, and a sketch of the inside read at the
-   local target -> either a narrower bracket or
-3. a final distributed ``groupBy(value).count()`` of the bracket (at most
-   ``max_local`` distinct values reach the driver), walked in value order.
-
-The target rank is checked against the counted bracket every round, so the
-answer is exact whatever the sketch's error; a bracket that misses is widened.
-Result: v_k + (h - k) (v_{k+1} - v_k) with h = (n - 1) p, as ``percentile`` /
-``quantile_cont``.
+"""Exact quantiles by counting (linear interpolation, like ``percentile``).
+
+One algorithm at every size, for whole tables and for groups:
+
+1. count every distinct (group, column, value); counts combine per task, so a
+   hot value or a hot group shuffles one row per task and value;
+2. deal the counted values by range over many partitions (a large group is cut
+   into as many of them as it needs) and write them with their partition
+   number;
+3. sum each partition and run a prefix over the sums, one row per partition of
+   a group, which tells in which partition a wanted rank lies;
+4. run the cumulative count inside those partitions only and read the values.
+
+No task holds more than a range of one column's values, and nothing reaches
+the driver.  Result: v_k + (h - k) (v_{k+1} - v_k) with h = (n - 1) p and k
+the whole part of h.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from homeledger.functions.small import plan_size_bytes
-
-SKETCH_K = 8192
-MAX_LOCAL = 50_000
-MAX_ROUNDS = 12
-
-
-def _margin(k: int) -> float:
-    return 3.0 * 2.296 / k ** 0.9723  # 3x KLL's normalized rank error
-
-
-def _value(c: str):
-    return F.expr(f"try_cast(`{c}` AS DOUBLE)")
-
-
-def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], k: int = SKETCH_K,
-                    max_local: int = MAX_LOCAL) -> dict[str, list[float | None]]:
-    """{column: [quantile per prob]} — exact, NULL-free values only (None when no values)."""
-    eps = _margin(k)
-    # ---- round 0: counts and first brackets
-    aggs = []
-    for i, c in enumerate(columns):
-        v = _value(c)
-        aggs += [F.count(v).alias(f"n{i}"), F.expr(f"kll_sketch_agg_double(try_cast(`{c}` AS DOUBLE), {k})").alias(f"s{i}")]
-    fr = []
-    for i, _ in enumerate(columns):
-        for j, p in enumerate(probs):
-            fr += [F.when(F.col(f"n{i}") > 0, F.expr(
-                f"kll_sketch_get_quantile_double(s{i}, array({max(0.0, p - eps)}, {min(1.0, p + eps)}))")
-            ).alias(f"b{i}_{j}")]
-    row = df.agg(*aggs).select(*[f"n{i}" for i in range(len(columns))], *fr).collect()[0]
-    n = {c: row[f"n{i}"] for i, c in enumerate(columns)}
-    # open items: (column, prob index) -> state
-    state: dict[tuple[int, int], dict] = {}
-    result: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns}
-    for i, c in enumerate(columns):
-        for j, p in enumerate(probs):
-            if n[c] == 0:
-                continue
-            h = (n[c] - 1) * p
-            lo_rank = int(math.floor(h))
-            hi_rank = min(lo_rank + 1, n[c] - 1)
-            b = row[f"b{i}_{j}"]
-            state[(i, j)] = {"h": h, "r0": lo_rank, "r1": hi_rank, "lo": b[0], "hi": b[1], "wide": eps}
-    rounds = 0
-    while state and rounds < MAX_ROUNDS:
-        rounds += 1
-        aggs, keys = [], list(state)
-        for (i, j) in keys:
-            s, v = state[(i, j)], _value(columns[i])
-            inside = (v >= F.lit(s["lo"])) & (v <= F.lit(s["hi"]))
-            t = f"{i}_{j}"
-            aggs += [F.count_if(v < F.lit(s["lo"])).alias(f"below{t}"), F.count_if(inside).alias(f"in{t}"),
-                     F.approx_count_distinct(F.when(inside, v)).alias(f"ndv{t}"),
-                     F.expr(f"kll_sketch_agg_double(CASE WHEN try_cast(`{columns[i]}` AS DOUBLE) BETWEEN "
-                            f"{s['lo']!r} AND {s['hi']!r} THEN try_cast(`{columns[i]}` AS DOUBLE) END, {k})")
-                     .alias(f"sk{t}")]
-        r = df.agg(*aggs).collect()[0]
-        final = []
-        for (i, j) in keys:
-            s, t = state[(i, j)], f"{i}_{j}"
-            below, inn, ndv = r[f"below{t}"], r[f"in{t}"], r[f"ndv{t}"]
-            if not (below <= s["r0"] and s["r1"] < below + inn):
-                # the sketch missed: widen around the old bracket (rank error beyond the margin)
-                s["wide"] *= 4
-                p = probs[j]
-                allq = df.agg(F.expr(f"kll_sketch_get_quantile_double(kll_sketch_agg_double("
-                                     f"try_cast(`{columns[i]}` AS DOUBLE), {k}), array({max(0.0, p - s['wide'])}, "
-                                     f"{min(1.0, p + s['wide'])}))").alias("b")).collect()[0]["b"]
-                s["lo"], s["hi"] = (min(allq[0], s["lo"]), max(allq[1], s["hi"])) if s["wide"] < 1 else \
-                    (float("-inf"), float("inf"))
-                continue
-            s["below"] = below
-            if ndv * 1.1 + 10 <= max_local or s["lo"] == s["hi"]:
-                final.append((i, j))
-            else:
-                f0 = max(0.0, (s["r0"] - below) / inn - eps)
-                f1 = min(1.0, (s["r1"] - below + 1) / inn + eps)
-                nb = _read_sketch(df.sparkSession, r[f"sk{t}"], [f0, f1]) if inn > 0 else None
-                if nb is None or (nb[0] == s["lo"] and nb[1] == s["hi"]):
-                    final.append((i, j))  # cannot narrow (few values, heavy ties): count them
-                else:
-                    s["lo"], s["hi"] = nb[0], nb[1]
-        if final:
-            _finish(df, columns, probs, state, final, result)
-    if state:
-        raise RuntimeError(f"exact_quantiles did not converge for {sorted(state)}")
-    return result
-
-
-def _read_sketch(spark, sketch: bytes, fractions: list[float]) -> list[float]:
-    """Quantiles of a fetched sketch (size bounded by k) at constant ranks, via a one-row local query."""
-    one = spark.createDataFrame([(bytearray(sketch),)], "s binary")
-    arr = ", ".join(repr(float(f)) for f in fractions)
-    return list(one.select(F.expr(f"kll_sketch_get_quantile_double(s, array({arr}))")).collect()[0][0])
-
-
-def _finish(df, columns, probs, state, items, result) -> None:
-    """Value counts inside each bracket (one distributed aggregation), walked in order."""
-    pieces = []
-    for (i, j) in items:
-        s = state[(i, j)]
-        v = _value(columns[i])
-        pieces.append(F.when((v >= F.lit(s["lo"])) & (v <= F.lit(s["hi"])),
-                             F.struct(F.lit(f"{i}_{j}").alias("item"), v.alias("v"))))
-    counted = (df.select(F.explode(F.array(*pieces)).alias("e")).where("e IS NOT NULL")
-                 .groupBy("e.item", "e.v").count().collect())
-    by_item: dict[str, list] = {}
-    for rr in counted:
-        by_item.setdefault(rr["item"], []).append((rr["v"], rr["count"]))
-    for (i, j) in items:
-        s = state.pop((i, j))
-        vals = sorted(by_item.get(f"{i}_{j}", []))
-        pos, v0, v1 = s["below"], None, None
-        for val, cnt in vals:
-            if v0 is None and pos + cnt > s["r0"]:
-                v0 = val
-            if pos + cnt > s["r1"]:
-                v1 = val
-                break
-            pos += cnt
-        frac = s["h"] - s["r0"]
-        result[columns[i]][j] = v0 if frac == 0 or v1 == v0 else v0 + frac * (v1 - v0)
-
-
-# Inputs estimated above this size use the bounded multi-pass method.
-BOUNDED_ABOVE_BYTES = 8 << 30
-
-
-def choose_method(df: DataFrame, method: str = "auto") -> str:
-    """'exact' (one-pass ``percentile``) for small inputs, 'bounded' beyond the size check."""
-    if method != "auto":
-        return method
-    size = plan_size_bytes(df)
-    return "bounded" if size is None or size > BOUNDED_ABOVE_BYTES else "exact"
-
-
-def quantile_row(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
-    """One-row table ``__q_<col>: array<double>`` from :func:`exact_quantiles`."""
-    q = exact_quantiles(df, columns, probs)
-    spark = df.sparkSession
-    fields = ", ".join(f"`__q_{c}` array<double>" for c in columns)
-    return spark.createDataFrame([tuple(q[c] if q[c][0] is not None else None for c in columns)], fields)
+from homeledger.session import materialize
+
+
+def _value(c: str) -> Column:
+    v = F.expr(f"try_cast(`{c}` AS DOUBLE)")
+    return F.when(~F.isnan(v), v)
+
+
+def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], by: list[str] | None = None) -> DataFrame:
+    """``by`` columns and ``__q_<column>``: the quantiles at ``probs`` as array<double>.
+
+    Null, NaN and non-numeric values do not count.  Without ``by`` the result is
+    one row (null arrays where a column has no value); with ``by``, one row per
+    group that has any value (null keys form no group).
+    """
+    by = list(by or [])
+    keys = [F.col(f"`{k}`").alias(f"g{i}") for i, k in enumerate(by)]
+    group = [f"g{i}" for i in range(len(by))]
+    item = [*group, "item"]
+    pairs = df.select(*keys, F.inline(F.array(*[F.struct(F.lit(i).alias("item"), _value(c).alias("v"))
+                                                for i, c in enumerate(columns)])))
+    pairs = pairs.where(" AND ".join(["v IS NOT NULL", *(f"{g} IS NOT NULL" for g in group)]))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = materialize(
+        pairs.groupBy(*item, "v").agg(F.count(F.lit(1)).alias("c"))
+        .repartitionByRange(parts, *item, "v").withColumn("part", F.spark_partition_id()), "value-counts")
+
+    before = Window.partitionBy(*item).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = (counted.groupBy(*item, "part").agg(F.sum("c").alias("s"))
+            .withColumn("below", F.coalesce(F.sum("s").over(before), F.lit(0)))
+            .withColumn("n", F.sum("s").over(Window.partitionBy(*item))))
+    h = F.expr("(n - 1) * p")
+    wanted = (sums.select("*", F.posexplode(F.array(*[F.lit(float(p)) for p in probs])).alias("k", "p"))
+              .withColumn("low", F.floor(h)).withColumn("frac", h - F.col("low"))
+              .select("*", F.inline(F.expr("array(struct(0 AS side, low AS rank), struct(1 AS side, least(low + 1, n - 1) AS rank))")))
+              .where("rank >= below AND rank < below + s")
+              .select(*item, "part", "k", "side", "frac", (F.col("rank") - F.col("below")).alias("at")))
+    inside = Window.partitionBy(*item, "part").orderBy("v")
+    here = wanted.select(*item, "part").distinct()
+    run = (counted.join(here, [*item, "part"], "left_semi").withColumn("upto", F.sum("c").over(inside)))
+    found = (run.join(wanted, [*item, "part"]).where("upto > at AND upto - c <= at")
+             .groupBy(*item, "k").agg(F.max(F.expr("CASE WHEN side = 0 THEN v END")).alias("v0"),
+                                      F.max(F.expr("CASE WHEN side = 1 THEN v END")).alias("v1"),
+                                      F.first("frac").alias("frac"))
+             .withColumn("q", F.expr("CASE WHEN frac = 0 OR v0 = v1 THEN v0 ELSE v0 + frac * (v1 - v0) END")))
+    arrays = [F.array(*[F.max(F.expr(f"CASE WHEN item = {i} AND k = {k} THEN q END")) for k in range(len(probs))])
+              for i in range(len(columns))]
+    out = [F.when(a[0].isNotNull(), a).alias(f"__q_{c}") for a, c in zip(arrays, columns)]
+    grouped = found.groupBy(*group) if group else found.groupBy()
+    return grouped.agg(*out).select(*[F.col(g).alias(k) for g, k in zip(group, by)], *[f"`__q_{c}`" for c in columns])

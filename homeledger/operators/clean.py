@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from homeledger.functions.columns import all_of, scalar_columns
-from homeledger.functions.quantiles import choose_method, quantile_row
-from homeledger.session import ensure_checkpoint_dir, guard_optimizer, materialize
+from homeledger.functions.quantiles import exact_quantiles
+from homeledger.session import materialize
 from homeledger.schema import IQR_MULTIPLIER, OUTLIER_COLUMNS, TARGET, VALID_STYLES
 
 
@@ -55,20 +55,11 @@ def coerce_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def iqr_bounds(df: DataFrame, columns: list[str] = OUTLIER_COLUMNS,
-               multiplier: float = IQR_MULTIPLIER, method: str = "auto") -> DataFrame:
-    """One-row table: q1/q3/lower/upper per column, all columns on the same input.
-
-    Exact linear-interpolation quartiles either way: small inputs use ONE
-    ``percentile`` aggregate inside the same plan; inputs beyond the size
-    check use the bounded-memory multi-pass method (no task holds every
-    distinct value).  The row (4 numbers per column) is broadcast back.
-    """
+               multiplier: float = IQR_MULTIPLIER) -> DataFrame:
+    """One-row table: exact q1/q3/lower/upper per column, all columns on the same
+    input; the row (4 numbers per column) is broadcast back."""
     present = [c for c in columns if c in df.columns]
-    if choose_method(df, method) == "bounded":
-        q = quantile_row(df, present, [0.25, 0.75])
-    else:
-        q = df.agg(*[F.percentile(F.expr(f"try_cast(`{c}` AS DOUBLE)"), F.array(F.lit(0.25), F.lit(0.75)))
-                     .alias(f"__q_{c}") for c in present])
+    q = exact_quantiles(df, present, [0.25, 0.75])
     out = []
     for c in present:
         q1 = F.col(f"__q_{c}")[0]
@@ -86,27 +77,26 @@ def _inside(c: str) -> F.Column:
 
 
 def remove_outliers_iqr(df: DataFrame, columns: list[str] = OUTLIER_COLUMNS,
-                        multiplier: float = IQR_MULTIPLIER, method: str = "auto") -> DataFrame:
+                        multiplier: float = IQR_MULTIPLIER) -> DataFrame:
     """#17: keep rows inside [Q1 - m*IQR, Q3 + m*IQR] on every column (null passes)."""
     present = [c for c in columns if c in df.columns]
     if not present:
         return df
-    b = iqr_bounds(df, present, multiplier, method)
+    b = iqr_bounds(df, present, multiplier)
     keep = all_of([F.coalesce(_inside(c), F.lit(True)) for c in present])
     return df.crossJoin(F.broadcast(b)).where(keep).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def outlier_report(df: DataFrame, columns: list[str] = OUTLIER_COLUMNS,
-                   multiplier: float = IQR_MULTIPLIER, method: str = "auto") -> DataFrame:
-    """#18: per column — outliers_found, lower/upper bound, Q1, Q3, IQR (2 places)."""
+                   multiplier: float = IQR_MULTIPLIER) -> DataFrame:
+    """#18: per column — outliers_found, lower/upper bound, Q1, Q3, IQR (2 places); one
+    aggregate over the rows, its single row unpivoted."""
     present = [c for c in columns if c in df.columns]
-    b = iqr_bounds(df, present, multiplier, method)
+    b = iqr_bounds(df, present, multiplier)
     counts = (df.crossJoin(F.broadcast(b))
                 .agg(*[F.count_if(~F.coalesce(_inside(c), F.lit(True))).alias(f"{c}__n") for c in present]))
-    row = counts.crossJoin(b)
-    parts = []
-    for c in present:
-        parts.append(row.select(
+    return counts.crossJoin(F.broadcast(b)).select(F.inline(F.array(*[
+        F.struct(
             F.lit(c).alias("column"),
             F.col(f"{c}__n").alias("outliers_found"),
             F.round(F.col(f"{c}__lo"), 2).alias("lower_bound"),
@@ -114,39 +104,29 @@ def outlier_report(df: DataFrame, columns: list[str] = OUTLIER_COLUMNS,
             F.round(F.col(f"{c}__q1"), 2).alias("q1"),
             F.round(F.col(f"{c}__q3"), 2).alias("q3"),
             F.round(F.col(f"{c}__q3") - F.col(f"{c}__q1"), 2).alias("iqr"),
-        ))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        ) for c in present])))
 
 
-def clean_steps(df: DataFrame, multiplier: float = IQR_MULTIPLIER, method: str = "auto") -> dict[str, DataFrame]:
+def clean_steps(df: DataFrame, multiplier: float = IQR_MULTIPLIER) -> dict[str, DataFrame]:
     """#19: the five steps in order; returns every intermediate frame.
 
-    With the bounded quantile method (large inputs) the deduplicated,
-    filtered rows are first written as a table in the shared checkpoint dir, so
-    the quartile passes and the final filter read them instead of repeating
-    the dedup shuffle.
+    The deduplicated, filtered rows are written as a table in the shared
+    checkpoint dir, so the quartile passes and the final filter read them
+    instead of repeating the dedup shuffle.
     """
-    guard_optimizer(df.sparkSession)
     s0 = df
     s1 = drop_empty_rows(s0)
     s2 = deduplicate(s1)
     s3 = remove_missing_target(s2)
-    s4 = filter_style(s3)
-    method = choose_method(s4, method)
-    if method == "bounded":
-        ensure_checkpoint_dir(df.sparkSession)
-        s4 = materialize(s4, "clean-filtered")
-    s5 = remove_outliers_iqr(s4, OUTLIER_COLUMNS, multiplier, method)
+    s4 = materialize(filter_style(s3), "clean-filtered")
+    s5 = remove_outliers_iqr(s4, OUTLIER_COLUMNS, multiplier)
     return {"raw": s0, "non_empty": s1, "deduplicated": s2, "with_target": s3,
             "style_filtered": s4, "cleaned": s5}
 
 
-def clean_data(df: DataFrame, multiplier: float = IQR_MULTIPLIER, method: str = "auto") -> DataFrame:
+def clean_data(df: DataFrame, multiplier: float = IQR_MULTIPLIER) -> DataFrame:
     """#19: cleaned listings."""
-    return clean_steps(df, multiplier, method)["cleaned"]
+    return clean_steps(df, multiplier)["cleaned"]
 
 
 def cleaning_log(df: DataFrame, multiplier: float = IQR_MULTIPLIER) -> DataFrame:
@@ -158,10 +138,9 @@ def cleaning_log(df: DataFrame, multiplier: float = IQR_MULTIPLIER) -> DataFrame
     style-filtered rows, broadcast as one row) in one pass over the dedup
     output.
     """
-    guard_optimizer(df.sparkSession)
     non_empty = ~F.lit(True) if not df.columns else ~all_of([F.col(f"`{c}`").isNull() for c in df.columns])
     raw = df.agg(F.count(F.lit(1)).alias("raw"), F.count_if(non_empty).alias("non_empty"))
-    d = deduplicate(drop_empty_rows(df))
+    d = materialize(deduplicate(drop_empty_rows(df)), "clean-deduplicated")
     has_target = F.col(TARGET).isNotNull()
     style_ok = F.col("style").isin(VALID_STYLES) | F.col("style").isNull()
     present = [c for c in OUTLIER_COLUMNS if c in df.columns]

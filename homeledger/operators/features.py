@@ -3,7 +3,7 @@
 The transforms are applied in the fixed order of :data:`PIPELINE`.  Fitted
 statistics (modes, group medians, category lists) are computed with
 aggregates and joined back: one-row results with a broadcast cross join,
-per-group results through :func:`bounded_broadcast`.  Never a window
+per-group results with an ordinary join (AQE picks the strategy).  Never a window
 partitioned by a low-cardinality key (five styles would mean five tasks).
 """
 
@@ -15,14 +15,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from homeledger.functions.columns import season_of
-from homeledger.functions.small import bounded_broadcast
+from homeledger.functions.quantiles import exact_quantiles
 from homeledger.schema import (
     DEFAULT_MONTH, DEFAULT_SEASON, LISTING_KEYS, MEDIAN_IMPUTE_PLAN, NON_FEATURE_COLUMNS,
     ONE_HOT_COLUMNS,
 )
-from homeledger.session import ensure_checkpoint_dir, guard_optimizer, materialize
+from homeledger.session import ensure_checkpoint_dir, materialize
 
-MAX_CATEGORIES = 10_000  # per one-hot column; more is a modelling error, not a bound on rows
 
 
 @dataclass
@@ -79,16 +78,18 @@ def _group_fill(df: DataFrame, cols: list[str], keys: list[str]) -> DataFrame:
     """Fill ``cols`` from their group medians over ``keys``, then from the global
     median of the filled column (a null key gets no group median).
 
-    Group medians: one grouped aggregate, joined back through a bounded
-    broadcast.  Global medians: one-row aggregate fetched once and inlined as
-    literals, so later jobs on the result do not recompute it.
+    Medians are exact and counted by value, so a style that holds a third of
+    the rows spreads over many tasks.  The global ones are one row, fetched
+    once and inlined as literals, so later jobs on the result do not recompute
+    it.
     """
-    meds = (df.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
-              .groupBy(*keys).agg(*[F.median(c).alias(f"__g_{c}") for c in cols]))
-    j = df.join(bounded_broadcast(meds), keys, "left")
+    meds = exact_quantiles(df, cols, [0.5], by=keys).select(
+        *[F.col(f"`{k}`") for k in keys], *[F.col(f"`__q_{c}`")[0].alias(f"__g_{c}") for c in cols])
+    j = df.join(meds, keys, "left")
     filled = j.select(*[F.coalesce(F.col(c).cast("double"), F.col(f"__g_{c}")).alias(c) if c in cols
                         else F.col(f"`{c}`") for c in df.columns])
-    glob = filled.agg(*[F.median(c).alias(c) for c in cols]).collect()[0]
+    one = exact_quantiles(filled, cols, [0.5]).first()
+    glob = {c: (one[f"__q_{c}"] or [None])[0] for c in cols}
     return filled.select(*[F.coalesce(F.col(c), F.lit(glob[c]).cast("double")).alias(c) if c in cols
                            else F.col(f"`{c}`") for c in df.columns])
 
@@ -140,10 +141,8 @@ def category_values(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
         return {}
     pairs = df.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("c"), F.col(f"`{c}`").cast("string").alias("v")) for c in present])))
-    limit = MAX_CATEGORIES * len(present) + 1
-    rows = pairs.where("v IS NOT NULL").distinct().limit(limit).collect()
-    if len(rows) >= limit:
-        raise ValueError("too many categories for one-hot encoding")
+    # each value becomes a column of the encoded table, so the list is its schema
+    rows = pairs.where("v IS NOT NULL").distinct().collect()
     out = {c: [] for c in present}
     for r in rows:
         out[r["c"]].append(r["v"])
@@ -182,7 +181,6 @@ def feature_pipeline(df: DataFrame, run: FeatureRun | None = None,
     passes scan it instead of recomputing the upstream joins, dedup and
     quartiles; the engineered output is written for training and scoring.
     """
-    guard_optimizer(df.sparkSession)
     run = run if run is not None else FeatureRun()
     ensure_checkpoint_dir(df.sparkSession)
     out = drop_unnecessary_columns(df); run.applied.append("drop_non_feature_columns")

@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from homeledger.functions.quantiles import exact_quantiles
 from homeledger.functions.columns import row_digest
 from homeledger.schema import (
     MIN_ROW_COUNT, NOT_NULL_EXPECTATIONS, RANGE_EXPECTATIONS, REQUIRED_COLUMNS, SET_EXPECTATIONS,
@@ -184,25 +185,22 @@ def dataset_fingerprint(df: DataFrame, by: list[str] | None = None) -> DataFrame
 def target_profile(df: DataFrame, target: str = "sold_price") -> DataFrame:
     """#37: target min, max, mean, median (2 places)."""
     c = F.col(target)
+    q = exact_quantiles(df, [target], [0.5])
     return df.agg(F.round(F.min(c), 2).alias("min"), F.round(F.max(c), 2).alias("max"),
-                  F.round(F.avg(c), 2).alias("mean"), F.round(F.median(c), 2).alias("median"))
+                  F.round(F.avg(c), 2).alias("mean")).crossJoin(F.broadcast(q)).select(
+        "min", "max", "mean", F.round(F.col(f"`__q_{target}`")[0], 2).alias("median"))
 
 
-def validity_bounds(df: DataFrame, columns: list[str], method: str = "auto") -> DataFrame:
-    """#38: per numeric feature — min, max, p01, p99, median (2 places), one aggregate
-    (or the bounded multi-pass quantiles beyond the size check)."""
-    from homeledger.functions.quantiles import choose_method, quantile_row
-    bounded = choose_method(df, method) == "bounded"
+def validity_bounds(df: DataFrame, columns: list[str]) -> DataFrame:
+    """#38: per numeric feature — min, max, p01, p99, median (2 places): one aggregate
+    and the exact quantiles of all columns."""
     aggs = []
     for i, c in enumerate(columns):
         v = F.expr(f"try_cast(`{c}` AS DOUBLE)")
         aggs += [F.min(v).alias(f"__mn{i}"), F.max(v).alias(f"__mx{i}")]
-        if not bounded:
-            aggs.append(F.percentile(v, F.array(F.lit(0.01), F.lit(0.5), F.lit(0.99))).alias(f"__p{i}"))
-    agg = df.agg(*aggs)
-    if bounded:
-        q = quantile_row(df, columns, [0.01, 0.5, 0.99])
-        agg = agg.crossJoin(q.select(*[F.col(f"__q_{c}").alias(f"__p{i}") for i, c in enumerate(columns)]))
+    q = exact_quantiles(df, columns, [0.01, 0.5, 0.99])
+    agg = df.agg(*aggs).crossJoin(F.broadcast(
+        q.select(*[F.col(f"`__q_{c}`").alias(f"__p{i}") for i, c in enumerate(columns)])))
     rows = F.array(*[F.struct(F.lit(c).alias("feature"),
                               F.round(F.col(f"__mn{i}"), 2).alias("min"),
                               F.round(F.col(f"__mx{i}"), 2).alias("max"),

@@ -8,7 +8,9 @@ the shared folder the cluster names — never a machine-local temp folder.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -21,9 +23,6 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
-    # Wide filter chains over CASE-built columns make constraint inference
-    # exponential; pushdown into Parquet does not depend on it.
-    "spark.sql.constraintPropagation.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
@@ -49,19 +48,21 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
-def guard_optimizer(spark: SparkSession) -> None:
-    """Runtime SQL settings every homeledger plan relies on (idempotent)."""
-    if spark.conf.get("spark.sql.constraintPropagation.enabled", "true") != "false":
-        spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a scratch one only when unset (tests)."""
+    """The shared checkpoint folder of the session.
+
+    Where none is set a local session gets a scratch folder, removed at exit;
+    any other session is refused, as its executors could not see one.
+    """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="homeledger-ckpt-")
+        atexit.register(shutil.rmtree, current, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", current)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(current)
