@@ -44,6 +44,12 @@ def op3_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(_table(spark, sf_dir, "documents"))
 
 
+def op4_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from homeledger.llm.importance import resample
+
+    return resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from homeledger.llm.quality_rules import quality_rules
 
@@ -82,8 +88,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (
-        op1_separator_scan, op2_packing, op3_ppm_language, op5_quality_rules, op6_pigeonhole_join,
-        op7_string_kernel, op8_cross_entropy, op9_piece_viterbi, op10_simhash)}
+        op1_separator_scan, op2_packing, op3_ppm_language, op4_importance, op5_quality_rules,
+        op6_pigeonhole_join, op7_string_kernel, op8_cross_entropy, op9_piece_viterbi, op10_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
