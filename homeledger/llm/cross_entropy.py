@@ -76,23 +76,31 @@ def pair_counts(flagged: DataFrame, vocabulary: Vocabulary):
                                              names=["pair", "n", "t"])
 
     got = (flagged.mapInArrow(run, "pair long, n long, t long").groupBy("pair")
-           .agg(F.sum("n").alias("n"), F.sum("t").alias("t")).toPandas())
-    out = np.zeros((2, cells))
-    out[0][got["pair"]], out[1][got["pair"]] = got["n"], got["t"]
-    return out.reshape(2, vocabulary.size + 1, vocabulary.size)
+           .agg(F.sum("n").alias("n"), F.sum("t").alias("t")).selectExpr("int(pair) AS pair", "n", "t").toArrow())
+    out, at = [], got.column("pair").to_numpy()
+    for name in ("n", "t"):
+        dense = np.zeros(cells)
+        dense[at] = got.column(name).to_numpy()
+        out.append(dense.reshape(vocabulary.size + 1, vocabulary.size))
+    return out
 
 
 def losses(count):
-    """Bits of every pair under one model from its dense counts (previous, word)."""
+    """Bits of every pair under one model, in place of its dense counts (previous, word)."""
     import numpy as np
 
     word = count.sum(axis=0)
     uni = (word + 1) / (word.sum() + len(word))
-    seen = count.sum(axis=1, keepdims=True)
-    kinds = (count > 0).sum(axis=1, keepdims=True)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        p = (np.maximum(count - DISCOUNT, 0) + DISCOUNT * kinds * uni) / seen
-    return -np.log2(np.where(seen > 0, p, uni))
+    seen = count.sum(axis=1)
+    kinds = (count > 0).sum(axis=1)
+    for k in range(len(count)):  # row by row: the table is the driver's largest object
+        if seen[k]:
+            count[k] = (np.maximum(count[k] - DISCOUNT, 0) + DISCOUNT * kinds[k] * uni) / seen[k]
+        else:
+            count[k] = uni
+    np.log2(count, out=count)
+    np.negative(count, out=count)
+    return count
 
 
 class LossTable:
