@@ -36,9 +36,9 @@ RULES = (
 # Words in 3-word windows found twice or more, laid out in order of position: each
 # repeated window adds the words that the one before it does not already cover.
 REPEATED = """
-CASE WHEN n_words < 4 THEN 0L ELSE
-  transform(array(sort_array(transform(sequence(0, CAST(n_words AS INT) - 3),
-              i -> struct(concat_ws(' ', words[i], words[i + 1], words[i + 2]) AS g, i AS i)))), s ->
+CASE WHEN size(ws) < 4 THEN 0L ELSE
+  transform(array(sort_array(transform(sequence(0, size(ws) - 3),
+              i -> struct(concat_ws(' ', ws[i], ws[i + 1], ws[i + 2]) AS g, i AS i)))), s ->
     transform(array(sort_array(transform(
         filter(s, (x, k) -> coalesce(get(s, k - 1).g = x.g, false) OR coalesce(get(s, k + 1).g = x.g, false)),
         x -> x.i))), p ->
@@ -52,7 +52,7 @@ def compile_rules(rules=RULES) -> Column:
     """AND of the rules; a ratio without a value (division by zero) fails its rule."""
     out = F.lit(True)
     for _, ratio, low, high in rules:
-        x = F.expr(ratio)
+        x = F.try_divide(*ratio.split(" / ")) if " / " in ratio else F.col(ratio)
         if low is not None:
             out = out & F.coalesce(x >= F.lit(low), F.lit(False))
         if high is not None:
@@ -60,25 +60,35 @@ def compile_rules(rules=RULES) -> Column:
     return out
 
 
+def _let(value: str, name: str, fields: dict[str, str]) -> Column:
+    """struct of ``fields`` over ``value``, bound to ``name`` once.
+
+    A lambda variable stays bound wherever the optimizer moves the expression
+    (a filter on the result, say), so the words of a text are never cut again
+    for every word.
+    """
+    return F.expr(f"transform(array({value}), {name} -> struct("
+                  + ", ".join(f"{x} AS {k}" for k, x in fields.items()) + "))[0]")
+
+
 def measures(docs: DataFrame) -> DataFrame:
     """Counts per text: words, characters, symbols, stop words, lines and repeats."""
     stop = ", ".join(f"'{w}'" for w in sorted(set(STOP_WORDS)))
-    words = id_and_text(docs).withColumn("words", F.expr(f"filter(split(text, '{SPACE}+'), w -> w <> '')"))
-    words = words.withColumn("n_words", F.size("words").cast("long")).withColumn(
-        "lines", F.expr("filter(split(text, '\\n'), l -> l rlike '[^\\\\x20\\\\x09-\\\\x0D]')"))
-    return words.select(
-        "doc_id", "n_words",
-        F.expr(f"CAST(length(regexp_replace(text, '{SPACE}+', '')) AS BIGINT)").alias("word_chars"),
-        F.expr(f"CAST(length(text) - length(translate(text, '{SYMBOLS}', '')) AS BIGINT)").alias("n_symbols"),
-        F.expr("CAST(size(lines) - size(array_distinct(lines)) AS BIGINT)").alias("n_dup_lines"),
-        F.expr(REPEATED).alias("n_repeat_words"),
-        F.expr("CAST(size(lines) AS BIGINT)").alias("n_lines"),
-        F.expr(f"CAST(size(filter(words, w -> lower(w) IN ({stop}))) AS BIGINT)").alias("n_stop_words"),
-        F.expr("CAST(size(filter(words, w -> w rlike '\\\\p{L}')) AS BIGINT)").alias("n_alpha_words"),
-        F.expr("CAST(length(text) - length(regexp_replace(text, '[A-Z]', '')) AS BIGINT)").alias("n_upper"),
-        F.expr("CAST(size(filter(lines, l -> endswith(rtrim(l), '...') OR endswith(rtrim(l), '…'))) AS BIGINT)")
-        .alias("n_ellipsis_lines"),
-    )
+    words = _let(f"filter(split(text, '{SPACE}+'), w -> w <> '')", "ws", {
+        "n_words": "CAST(size(ws) AS BIGINT)",
+        "n_repeat_words": REPEATED,
+        "n_stop_words": f"CAST(size(filter(ws, w -> lower(w) IN ({stop}))) AS BIGINT)",
+        "n_alpha_words": "CAST(size(filter(ws, w -> w rlike '\\\\p{L}')) AS BIGINT)"})
+    lines = _let("filter(split(text, '\\n'), l -> l rlike '[^\\\\x20\\\\x09-\\\\x0D]')", "ls", {
+        "n_lines": "CAST(size(ls) AS BIGINT)",
+        "n_dup_lines": "CAST(size(ls) - size(array_distinct(ls)) AS BIGINT)",
+        "n_ellipsis_lines": "CAST(size(filter(ls, l -> endswith(rtrim(l), '...') OR endswith(rtrim(l), '…'))) AS BIGINT)"})
+    chars = {"word_chars": f"length(regexp_replace(text, '{SPACE}+', ''))",
+             "n_symbols": f"length(text) - length(translate(text, '{SYMBOLS}', ''))",
+             "n_upper": "length(text) - length(regexp_replace(text, '[A-Z]', ''))"}
+    return id_and_text(docs).select(
+        "doc_id", words.alias("w"), lines.alias("l"),
+        *[F.expr(f"CAST({x} AS BIGINT)").alias(k) for k, x in chars.items()]).select("doc_id", "w.*", "l.*", *chars)
 
 
 def quality_rules(docs: DataFrame, rules=RULES) -> DataFrame:
