@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 
-def _powers(n: int):
+BASE = 0x100000001B3  # odd, so it has an inverse modulo 2**64
+
+
+def _powers(base: int, n: int):
     import numpy as np
 
-    p = np.full(n + 1, 0x100000001B3, np.uint64)
-    p[0] = 1
+    p = np.full(n, base, np.uint64)
+    p[:1] = 1
     return np.cumprod(p, dtype=np.uint64)
 
 
@@ -23,10 +26,10 @@ def word_hashes(texts: list[bytes]):
     white = (buf == 32) | ((buf >= 9) & (buf <= 13))
     edge = np.flatnonzero(white[1:] != white[:-1]) + 1
     start, end = edge[0::2], edge[1::2]
-    power = _powers(len(buf))
-    total = np.concatenate([[np.uint64(0)], np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * power[:-1], dtype=np.uint64)])
-    # sum over the word, then shifted to the highest power in use so that place does not matter
-    h = (total[end] - total[start]) * power[len(buf) - start]
+    term = (buf.astype(np.uint64) + np.uint64(1)) * _powers(BASE, len(buf))
+    total = np.concatenate([[np.uint64(0)], np.cumsum(term, dtype=np.uint64)])
+    # the sum over the word, divided by the power of its first byte: its place does not matter
+    h = (total[end] - total[start]) * _powers(pow(BASE, -1, 1 << 64), len(buf))[start]
     h ^= h >> np.uint64(31)
     h *= np.uint64(0x9E3779B97F4A7C15)
     h ^= h >> np.uint64(29)
