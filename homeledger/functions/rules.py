@@ -8,14 +8,14 @@ removed); the other five are false on a missing value.
 
 from __future__ import annotations
 
-import re
+from contextlib import suppress
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# FIXED VALUES: the rule grammar
-_RULE = re.compile(r"^([a-zA-Z_][a-zA-Z0-9_]*)\s*(>=|<=|!=|==|>|<)\s*(.+)$")
+# FIXED VALUES: the comparison signs; of two that start at one place the longer counts
+SIGNS = (">=", "<=", "!=", "==", ">", "<")
 
 
 @dataclass(frozen=True)
@@ -29,16 +29,21 @@ class Rule:
         return repr(self.value) if isinstance(self.value, float) else str(self.value)
 
 
+def _literal(raw: str) -> object:
+    """A number where the text is one, else the text without quotes around it."""
+    with suppress(ValueError):
+        return float(raw)
+    return raw.strip("'\"")
+
+
 def parse_rule(text: str) -> Rule:
-    m = _RULE.match(text.strip())
-    if not m:
+    """Cut a rule at its first comparison sign into column, sign and typed value."""
+    places = [(text.index(s), -len(s), s) for s in SIGNS if s in text]
+    sign = min(places)[2] if places else ""
+    column, _, raw = (part.strip() for part in text.partition(sign)) if sign else ("", "", "")
+    if not (column.isascii() and column.isidentifier() and raw):
         raise ValueError(f"Invalid filter rule: {text!r}; expected e.g. 'beds>20' or 'sold_price<=10000'")
-    col, op, raw = m.groups()
-    try:
-        value: object = float(raw)
-    except ValueError:
-        value = raw.strip("'\"")
-    return Rule(text, col, op, value)
+    return Rule(text, column, sign, _literal(raw))
 
 
 def predicate(rule: Rule, df: DataFrame | None = None) -> Column:

@@ -49,9 +49,10 @@ def filter_style(df: DataFrame, valid_styles: list[str] = VALID_STYLES) -> DataF
 
 
 def coerce_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
-    """#26: text -> double, bad values become NULL (``try_cast``)."""
+    """#26: text -> double, bad values and NaN become NULL (``try_cast``)."""
     present = [c for c in columns if c in df.columns]
-    return df.withColumns({c: F.expr(f"try_cast(`{c}` AS DOUBLE)") for c in present})
+    number = lambda c: F.expr(f"try_cast(`{c}` AS DOUBLE)")
+    return df.withColumns({c: F.when(~F.isnan(number(c)), number(c)) for c in present})
 
 
 def iqr_bounds(df: DataFrame, columns: list[str] = OUTLIER_COLUMNS,

@@ -17,9 +17,11 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from homeledger.session import materialize
+
 TARGET = "sold_price"
 MAX_DEPTH = 30  # Spark ML trees stop at depth 30
 
@@ -32,7 +34,6 @@ def _assembler(features: list[str]) -> VectorAssembler:
 def forest_estimator(params: dict | None = None, seed: int = 42) -> RandomForestRegressor:
     p = {"numTrees": 20, "maxDepth": 8, "minInstancesPerNode": 1, "featureSubsetStrategy": "onethird"}
     p.update(params or {})
-    p["maxDepth"] = min(int(p["maxDepth"]), MAX_DEPTH)
     return RandomForestRegressor(labelCol=TARGET, featuresCol="features", seed=seed, **p)
 
 
@@ -40,7 +41,6 @@ def boosted_estimator(params: dict | None = None, seed: int = 42) -> GBTRegresso
     p = {"maxIter": 20, "maxDepth": 5, "stepSize": 0.1, "subsamplingRate": 1.0,
          "featureSubsetStrategy": "all", "minInstancesPerNode": 1, "minInfoGain": 0.0}
     p.update(params or {})
-    p["maxDepth"] = min(int(p["maxDepth"]), MAX_DEPTH)
     return GBTRegressor(labelCol=TARGET, featuresCol="features", seed=seed, **p)
 
 
@@ -101,15 +101,17 @@ def regression_metrics(pred: DataFrame, n_features: int, by: list[str] | None =
                        actual: str = "actual", predicted: str = "predicted") -> DataFrame:
     """#56 / #57: n, R², adjusted R², RMSE, MAE — ONE aggregate (per group).
 
-    R² = 1 - SSE / SST with SST = Σy² - (Σy)²/n; adjusted R² is NULL when
-    n - p - 1 <= 0 instead of a meaningless or infinite value.
+    R² = 1 - SSE / SST with SST = n · var_pop(y), over rows that have both
+    values; adjusted R² is NULL when n - p - 1 <= 0 instead of a meaningless or
+    infinite value.
     """
     by = by or []
+    both = pred.where(F.col(actual).isNotNull() & F.col(predicted).isNotNull())
     y, yh = F.col(actual), F.col(predicted)
-    g = pred.groupBy(*by) if by else pred.groupBy()
-    agg = g.agg(F.count(y).alias("n"), F.sum(y).alias("__sy"), F.sum(y * y).alias("__syy"),
+    g = both.groupBy(*by) if by else both.groupBy()
+    agg = g.agg(F.count(y).alias("n"), F.var_pop(y).alias("__var"),
                 F.sum((y - yh) * (y - yh)).alias("__sse"), F.sum(F.abs(y - yh)).alias("__sae"))
-    sst = F.col("__syy") - F.col("__sy") * F.col("__sy") / F.col("n")
+    sst = F.col("__var") * F.col("n")
     r2 = F.lit(1.0) - F.try_divide(F.col("__sse"), sst)
     dof = F.col("n") - F.lit(n_features) - F.lit(1)
     adj = F.when(dof > 0, F.lit(1.0) - (F.lit(1.0) - r2) * (F.col("n") - 1) / dof)
@@ -117,12 +119,6 @@ def regression_metrics(pred: DataFrame, n_features: int, by: list[str] | None =
                       F.sqrt(F.col("__sse") / F.col("n")).alias("rmse"), (F.col("__sae") / F.col("n")).alias("mae"))
 
 
-def adjusted_r2(r2: Column, n: Column, p: int) -> Column:
-    """#56: 1 - (1 - R²)(n - 1)/(n - p - 1), NULL when the denominator is not positive."""
-    dof = n - F.lit(p) - F.lit(1)
-    return F.when(dof > 0, F.lit(1.0) - (F.lit(1.0) - r2) * (n - 1) / dof)
-
-
 def cv_scores(pred: DataFrame, n_features: int, fold_col: str = "fold") -> DataFrame:
     """#55: per-fold metrics in one grouped aggregate, then mean and population std."""
     m = regression_metrics(pred, n_features, [fold_col])
@@ -133,11 +129,12 @@ def cv_scores(pred: DataFrame, n_features: int, fold_col: str = "fold") -> DataF
 
 
 # ------------------------------------------------------------ search
-RF_SPACE = {"numTrees": (100, 800, 50), "maxDepth": (5, 50, 1), "minInstancesPerNode": (1, 15, 1),
+# FIXED VALUES: search ranges (Spark ML trees stop at depth 30)
+RF_SPACE = {"numTrees": (100, 800, 50), "maxDepth": (5, MAX_DEPTH, 1), "minInstancesPerNode": (1, 15, 1),
             "featureSubsetStrategy": ["sqrt", "log2", "0.3", "0.5", "0.7", "all"]}
 GBT_SPACE = {"maxIter": (100, 1000, 50), "stepSize": (0.01, 0.3, "log"), "maxDepth": (3, 12, 1),
              "subsamplingRate": (0.5, 1.0, None), "minInstancesPerNode": (1, 10, 1),
-             "minInfoGain": (1e-8, 5.0, "log")}
+             "minInfoGain": (1e-8, 5.0, "log"), "featureSubsetStrategy": ["0.5", "0.6", "0.7", "0.8", "0.9", "all"]}
 
 
 def sample_params(space: dict, rng: random.Random) -> dict:
@@ -161,7 +158,7 @@ class SearchConfig:
     folds: int = 3
     seed: int = 42
     parallel: int = 2
-    scale: dict | None = None  # caps for quick runs, e.g. {"numTrees": 10, "maxDepth": 5}
+    space: dict | None = None  # ranges to search instead of the model type's own
 
 
 def random_search(df: DataFrame, features: list[str], model_type: str, key: list[str],
@@ -169,14 +166,9 @@ def random_search(df: DataFrame, features: list[str], model_type: str, key: list
     """#58: seeded random candidates x k folds; each trial's fits are Spark jobs,
     trials run in a small driver thread pool.  Returns the trial table."""
     rng = random.Random(cfg.seed)
-    space = RF_SPACE if model_type == "rf" else GBT_SPACE
+    space = cfg.space or (RF_SPACE if model_type == "rf" else GBT_SPACE)
     cands = [sample_params(space, rng) for _ in range(cfg.trials)]
-    if cfg.scale:
-        for c in cands:
-            for k, cap in cfg.scale.items():
-                if k in c:
-                    c[k] = min(c[k], cap)
-    folded = with_folds(df, cfg.folds, cfg.seed, key).cache()
+    folded = materialize(with_folds(df, cfg.folds, cfg.seed, key), "search-folds")
 
     def run(i_params):
         i, params = i_params
@@ -188,7 +180,6 @@ def random_search(df: DataFrame, features: list[str], model_type: str, key: list
 
     with ThreadPoolExecutor(max_workers=max(1, cfg.parallel)) as pool:
         rows = list(pool.map(run, enumerate(cands)))
-    folded.unpersist()
     spark = df.sparkSession
     cols = ["trial_number", "model_type", "params", "cv_adj_r2_mean", "cv_adj_r2_std", "cv_r2_mean",
             "cv_rmse_mean", "cv_rmse_std", "cv_mae_mean"]
@@ -241,10 +232,11 @@ def promote(versions: DataFrame, bucket_width: int = 100_000) -> DataFrame:
     prior = bmax.select("__b", F.max("__bm").over(
         Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)).alias("__pb"))
     w = Window.partitionBy("__b").orderBy("version").rowsBetween(Window.unboundedPreceding, -1)
-    j = v.withColumn("__in", F.max("score4").over(w)).join(F.broadcast(prior), "__b")
+    j = v.withColumn("__in", F.max("score4").over(w)).join(prior, "__b")
     inc = F.greatest(F.col("__in"), F.col("__pb"))
     return j.select("version", "model_type", "score4", inc.alias("incumbent_score"),
-                    (inc.isNull() | (F.col("score4") > inc)).alias("promoted")).select(
+                    F.coalesce(F.col("score4").isNotNull() & (inc.isNull() | (F.col("score4") > inc)), F.lit(False))
+                    .alias("promoted")).select(
         "version", "model_type", F.col("score4").alias("cv_adj_r2"), "incumbent_score", "promoted",
         F.when(F.col("promoted"), "champion").otherwise("challenger").alias("status_at_registration"))
 

@@ -43,11 +43,12 @@ def report_snapshot(data_path) -> "F.Column":
 
 
 def list_quarantined(reports: DataFrame) -> DataFrame:
-    """#40: quarantined snapshots with their failures (joined on snapshot name)."""
+    """#40: quarantined snapshots with the failures of their newest failing report (joined on
+    snapshot name); a later report that passes does not hide them."""
     q = reports.where(~F.col("success")).select(
         F.regexp_extract("data_path", r"([^/]+)\.csv$", 1).alias("quarantined_snapshot"),
-        report_snapshot(F.col("data_path")).alias("snapshot"))
-    latest = match_report(reports)
+        report_snapshot(F.col("data_path")).alias("snapshot")).distinct()
+    latest = match_report(reports.where(~F.col("success")))
     return q.join(latest, "snapshot", "left").select(
         "quarantined_snapshot", "snapshot", "failed",
         F.array_join(F.transform("failures", lambda f: f["expectation"]), ", ").alias("failed_expectations"))
@@ -96,7 +97,7 @@ def fix_and_approve(snapshots: DataFrame, rules: list[str], ts: str, by: str = "
         "revalidation_success", "revalidation_passed", "revalidation_failed", "fixed_hash",
         F.when(~empty, F.concat(F.lit("data/processed/"), stage_name("fixed", F.col(by)), F.lit(".csv")))
          .alias("fixed_file"),
-        F.when(F.col("rows_before") > rows_after, F.concat(F.lit("data/processed/"), stage_name("removed", F.col(by)),
+        F.when(F.col("rows_before") > rows_after, F.concat(F.lit("data/archive/"), stage_name("removed", F.col(by)),
                                                            F.lit(".csv"))).alias("removed_file"))
 
 

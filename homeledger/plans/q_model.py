@@ -16,8 +16,14 @@ from homeledger.session import scratch_path
 from homeledger.sources.fixture import listings
 
 P = 10  # feature count used by the adjusted-R² formulas on stored predictions
-SMALL = {"numTrees": 10, "maxDepth": 5}
-GBT_SMALL = {"maxIter": 10, "maxDepth": 4}
+# the attribution report explains a forest of this size; every other fit uses the operators' defaults
+EXPLAINED = {"numTrees": 10, "maxDepth": 5}
+# ranges the registered search draws from (a search option; the full ranges are in operators/model.py)
+SEARCH = {"rf": {"numTrees": (8, 16, 4), "maxDepth": (3, 6, 1), "minInstancesPerNode": (1, 15, 1),
+                 "featureSubsetStrategy": ["sqrt", "log2", "0.3", "0.5", "0.7", "all"]},
+          "gbt": {"maxIter": (6, 12, 2), "stepSize": (0.05, 0.3, "log"), "maxDepth": (3, 5, 1),
+                  "featureSubsetStrategy": ["0.5", "0.7", "all"]}}
+TOP_GROUPS = 5
 NUMERIC = ["year_built", "sqft", "beds", "full_baths", "half_baths", "lot_sqft", "stories",
            "parking_garage", "hoa_fee", "sale_month"]
 
@@ -156,10 +162,16 @@ def _standin_attributions(spark, sf):
     return att, feats
 
 
-def _collapsed(spark, sf):
+def _sums(spark, sf):
+    """Wide group sums of the stand-in attributions and the groups."""
     att, feats = _standin_attributions(spark, sf)
-    mapping = dict(EV.column_groups(feats, ONE_HOT_COLUMNS))
-    return EV.collapse_groups_wide(att, mapping, LISTING_KEYS, features=feats)
+    mapping = {r["feature"]: r["grp"] for r in _mapping(spark, feats).collect()}  # one row per column of the table
+    return EV.group_sums(att, mapping, LISTING_KEYS, features=feats)
+
+
+def _collapsed(spark, sf):
+    wide, groups = _sums(spark, sf)
+    return wide.unpivot(LISTING_KEYS, groups, "grp", "contribution")
 
 
 def _groups_df(spark):
@@ -209,15 +221,17 @@ def q_collapse_groups(spark, sf):
 
 @register("group_importance", _explain_sql("SELECT grp, round(mean_abs_contribution, 4) AS mean_abs_contribution FROM imp"))
 def q_group_importance(spark, sf):
-    g = EV.group_importance(_collapsed(spark, sf), 20)
+    g = EV.group_importance(*_sums(spark, sf), 20)
     return g.select("grp", r4("mean_abs_contribution"))
 
 
 @register("attribution_rows", _explain_sql(
-    f"SELECT {KEYS_SQL}, grp, round(contribution, 4) AS contribution FROM col WHERE grp IN (SELECT grp FROM imp)"))
+    f"SELECT {KEYS_SQL}, grp, round(contribution, 4) AS contribution FROM col WHERE grp IN (SELECT grp FROM imp "
+    f"ORDER BY mean_abs_contribution DESC, grp LIMIT {TOP_GROUPS})"))
 def q_attribution_rows(spark, sf):
-    c = _collapsed(spark, sf)
-    rows = EV.attribution_rows(c, EV.group_importance(c, 20))
+    wide, groups = _sums(spark, sf)
+    long = wide.unpivot(LISTING_KEYS, groups, "grp", "contribution")
+    rows = EV.attribution_rows(long, EV.group_importance(wide, groups, TOP_GROUPS))
     return rows.select(*LISTING_KEYS, "grp", r4("contribution"))
 
 
@@ -232,7 +246,7 @@ def q_split_target(spark, sf):
 @register("train_forest")
 def q_train_forest(spark, sf):
     eng, feats = _training(spark, sf)
-    m = M.train(eng, feats, "rf", SMALL)
+    m = M.train(eng, feats, "rf")
     return m.transform(eng).select(*LISTING_KEYS, F.col("sold_price").alias("actual"),
                                    F.col("prediction").alias("predicted"))
 
@@ -240,7 +254,7 @@ def q_train_forest(spark, sf):
 @register("train_boosted")
 def q_train_boosted(spark, sf):
     eng, feats = _training(spark, sf)
-    m = M.train(eng, feats, "gbt", GBT_SMALL)
+    m = M.train(eng, feats, "gbt")
     return m.transform(eng).select(*LISTING_KEYS, F.col("sold_price").alias("actual"),
                                    F.col("prediction").alias("predicted"))
 
@@ -248,28 +262,28 @@ def q_train_boosted(spark, sf):
 @register("oof_predict")
 def q_oof_predict(spark, sf):
     eng, feats = _training(spark, sf)
-    return M.oof_predictions(eng, feats, "rf", SMALL, k=3, seed=42, key=LISTING_KEYS, keep=LISTING_KEYS)
+    return M.oof_predictions(eng, feats, "rf", k=5, seed=42, key=LISTING_KEYS, keep=LISTING_KEYS)
 
 
 @register("random_search")
 def q_random_search(spark, sf):
     eng, feats = _training(spark, sf)
-    cfg = M.SearchConfig(trials=2, folds=2, seed=42, parallel=2,
-                         scale={"numTrees": 8, "maxDepth": 4, "maxIter": 8})
-    return M.random_search(eng, feats, "rf", LISTING_KEYS, cfg)
+    trials = [M.random_search(eng, feats, t, LISTING_KEYS, M.SearchConfig(trials=2, folds=3, seed=42, parallel=2, space=s))
+              for t, s in SEARCH.items()]
+    return trials[0].unionByName(trials[1])
 
 
 @register("feature_importance")
 def q_feature_importance(spark, sf):
     eng, feats = _training(spark, sf)
-    return M.feature_importance(M.train(eng, feats, "rf", SMALL), feats, 15)
+    return M.feature_importance(M.train(eng, feats, "rf"), feats, 15)
 
 
 @register("save_load_model")
 def q_save_load_model(spark, sf):
     eng, feats = _training(spark, sf)
     path = scratch_path(spark, "model")
-    M.save_model(M.train(eng, feats, "rf", SMALL), path)
+    M.save_model(M.train(eng, feats, "rf"), path)
     return M.load_model(path).transform(eng).select(*LISTING_KEYS, F.col("prediction").alias("predicted"))
 
 
@@ -284,7 +298,7 @@ def q_tree_attribution(spark, sf):
     """#71 on 500 sampled rows (the attribution sample size) of a small forest."""
     from homeledger.operators import attribution as A
     eng, feats = _training(spark, sf)
-    model = M.train(eng, feats, "rf", SMALL)
+    model = M.train(eng, feats, "rf", EXPLAINED)
     sample = EV.sample_rows(eng, 500, 42, LISTING_KEYS)
     att = A.tree_attribution(sample, model.stages[-1], feats, LISTING_KEYS)
     return A.to_long(att, feats, LISTING_KEYS)

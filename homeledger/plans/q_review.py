@@ -92,11 +92,12 @@ def _sql(body):
 
 
 @register("list_quarantined", _sql(
-    "SELECT q.quarantined_snapshot, q.snapshot, r.failed, r.failed_expectations FROM quar q LEFT JOIN run1 r "
-    "ON r.snapshot = q.snapshot"))
+    "SELECT DISTINCT ON (snapshot) regexp_extract(data_path, '([^/]+)\\.csv$', 1) AS quarantined_snapshot, snapshot, "
+    "failed, failed_expectations FROM (SELECT * FROM run1 UNION ALL SELECT * FROM run2) WHERE NOT success "
+    "ORDER BY snapshot, timestamp DESC, data_path DESC"))
 def q_list_quarantined(spark, sf):
-    _, run1, _ = _reports(spark, sf)
-    return RV.list_quarantined(run1)
+    _, run1, run2 = _reports(spark, sf)
+    return RV.list_quarantined(run1.unionByName(run2))
 
 
 @register("match_report", _sql(
@@ -121,7 +122,7 @@ def q_review_decision(spark, sf):
     "AS rows_removed, CASE WHEN COALESCE(a.rows_after, 0) = 0 THEN 'refused_empty' ELSE 'approved' END AS status, "
     "f.success AS revalidation_success, f.passed AS revalidation_passed, f.failed AS revalidation_failed, "
     "f.dataset_hash AS fixed_hash, CASE WHEN COALESCE(a.rows_after, 0) > 0 THEN 'data/processed/fixed_' || b.snapshot "
-    "|| '.csv' END AS fixed_file, CASE WHEN b.rows_before > COALESCE(a.rows_after, 0) THEN 'data/processed/removed_' "
+    "|| '.csv' END AS fixed_file, CASE WHEN b.rows_before > COALESCE(a.rows_after, 0) THEN 'data/archive/removed_' "
     "|| b.snapshot || '.csv' END AS removed_file FROM (SELECT snapshot, count(*) AS rows_before FROM rawsnap WHERE "
     "snapshot IN (SELECT snapshot FROM quar) GROUP BY snapshot) b LEFT JOIN (SELECT snapshot, count(*) AS rows_after "
     "FROM fixsnap GROUP BY snapshot) a USING (snapshot) LEFT JOIN fixrep f USING (snapshot)"))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from homeledger.functions.columns import nan_to_null
 from homeledger.schema import KNOWN_PREFIXES, LISTING_SCHEMA
 from homeledger.session import scratch_path
 
@@ -26,8 +27,8 @@ def read_listings(spark: SparkSession, path: str, fmt: str = "csv",
     """
     reader = spark.read.schema(schema)
     if fmt == "csv":
-        return reader.option("header", True).option("mode", "PERMISSIVE").csv(path)
-    return reader.format(fmt).load(path)
+        return nan_to_null(reader.option("header", True).option("mode", "PERMISSIVE").csv(path))
+    return nan_to_null(reader.format(fmt).load(path))
 
 
 def materialize_listings_csv(spark: SparkSession, sf_dir: str) -> str:
@@ -120,22 +121,27 @@ def pull_listings(df: DataFrame, location: str, listing_type: str, past_days: in
 
 
 def write_snapshot(df: DataFrame, base_path: str, stage: str, fmt: str = "parquet") -> str:
-    """#6: write a table with a ``snapshot`` column as ``stage=…/snapshot=…`` partitions."""
+    """#6: write a table with a ``snapshot`` column as ``stage=…/snapshot=…`` partitions.
+
+    A rerun replaces the partitions of the snapshots it writes and leaves the
+    others, so no row is ever doubled.
+    """
     path = f"{base_path.rstrip('/')}/stage={stage}"
-    df.write.mode("append").partitionBy("snapshot").format(fmt).save(path)
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot")
+     .format(fmt).save(path))
     return path
 
 
 def latest_snapshot(spark: SparkSession, stage_path: str, fmt: str = "parquet") -> DataFrame:
     """#2: rows of the newest snapshot in a stage directory (by file modification time);
     an empty stage raises."""
-    df = spark.read.format(fmt).load(stage_path)
-    stamped = df.select("*", F.col("_metadata.file_modification_time").alias("__mt"))
-    newest = stamped.groupBy("snapshot").agg(F.max("__mt").alias("__t")) \
-                    .orderBy(F.desc("__t"), F.desc("snapshot")).limit(1)
-    if not newest.take(1):
+    # a listing of names and times; no file is opened
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(stage_path)
+             .select("modificationTime", F.url_decode(F.regexp_extract("path", "snapshot=([^/]+)/", 1)).alias("snapshot")))
+    newest = files.where("snapshot <> ''").orderBy(F.desc("modificationTime"), F.desc("snapshot")).first()
+    if newest is None:
         raise FileNotFoundError(f"no snapshot under {stage_path}")
-    return stamped.join(newest.select("snapshot"), "snapshot", "left_semi").drop("__mt")
+    return spark.read.format(fmt).load(stage_path).where(F.col("snapshot") == newest["snapshot"])
 
 
 def write_reports(reports: DataFrame, path: str) -> str:
@@ -165,8 +171,10 @@ def run_log_rows(stage: str, run_id: str, metrics: DataFrame, params: dict[str,
 
 
 def append_run_log(rows: DataFrame, path: str) -> None:
-    """#10: append to the run log table (Parquet, partitioned by stage)."""
-    rows.write.mode("append").partitionBy("stage").parquet(path)
+    """#10: add runs to the run log table (Parquet, partitioned by stage and run); a
+    repeated run replaces its own rows."""
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("stage", "run_id")
+     .parquet(path))
 
 
 def run_summary(log: DataFrame, metric_order: list[str], skip_params: list[str]) -> DataFrame:

@@ -133,13 +133,13 @@ def test_snapshot_names(spark):
     assert out2 == ["approved_Cincinnati_OH_365d_1", "approved_quarantined_x"]
 
 
-def test_name_rule_schema():
+def test_name_rule_schema(spark):
     from homeledger.operators.score import infer_feature_schema
     names = ["year_built", "sqft", "beds", "full_baths", "half_baths", "lot_sqft", "stories", "parking_garage",
              "hoa_fee", "new_construction", "sale_month", "has_hoa", "has_garage", "style_CONDO", "style_TOWNHOMES",
              "city_Anderson Township", "city_Cincinnati", "zip_code_45208", "zip_code_45230",
              "county_Hamilton", "county_Warren", "sale_season_Spring", "sale_season_Summer"]
-    s = infer_feature_schema(names)
+    s = infer_feature_schema(spark, names)
     assert s.categorical_groups == {"zip_code": ["45208", "45230"], "style": ["CONDO", "TOWNHOMES"],
                                     "county": ["Hamilton", "Warren"], "city": ["Anderson Township", "Cincinnati"]} \
         or set(s.categorical_groups) == {"zip_code", "style", "county", "city"}
