@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from homeledger.llm.shared import id_and_text, ship
+from homeledger.session import materialize
 
 VOCABULARY = 2048
 DISCOUNT = 0.75
@@ -38,34 +39,55 @@ class Vocabulary:
         self.ids = {w: i + 1 for i, w in enumerate(words)}
         self.size, self.start = size, size
 
-    def pairs(self, text: str):
-        """id pairs (previous, word) as previous * size + word, for every word of a lower-cased text."""
+    def encode(self, text: str) -> bytes:
+        """Two-byte ids of the words of a lower-cased text."""
         import numpy as np
 
         words = text.encode().split()
         get = self.ids.get
-        ids = np.fromiter((get(w, 0) for w in words), np.int64, len(words))
-        out = np.empty(len(ids), np.int64)
-        if len(ids):
-            out[0], out[1:] = self.start, ids[:-1]
-        return out * self.size + ids
+        return np.fromiter((get(w, 0) for w in words), "<u2", len(words)).tobytes()
 
 
-def pair_counts(flagged: DataFrame, vocabulary: Vocabulary):
-    """Dense counts (all, target) of the pairs of ``flagged`` (doc_id, text, target)."""
+def pairs_of(coded: bytes, size: int):
+    """id pairs (previous, word) as previous * size + word, one per word."""
     import numpy as np
 
-    load = ship(flagged.sparkSession, vocabulary)
-    cells = (vocabulary.size + 1) * vocabulary.size
+    ids = np.frombuffer(coded, "<u2").astype(np.int64)
+    before = np.concatenate([[size], ids])[:-1]
+    return before * size + ids
+
+
+def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(doc_id, words binary) of every document, written once: counting and scoring read the ids."""
+    rows = id_and_text(docs).withColumn("text", F.lower("text"))
+    load = ship(docs.sparkSession, vocabulary)
 
     def run(batches):
         import pyarrow as pa
 
         vocab = load()
+        for b in batches:
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([vocab.encode(t) for t in b.column(1).to_pylist()], pa.binary())],
+                names=["doc_id", "words"])
+
+    return materialize(rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, words binary"),
+                       "word-ids")
+
+
+def pair_counts(flagged: DataFrame, size: int):
+    """Dense counts (all, target) of the pairs of ``flagged`` (words, target)."""
+    import numpy as np
+
+    cells = (size + 1) * size
+
+    def run(batches):
+        import pyarrow as pa
+
         count = np.zeros((2, cells), np.int64)
         for b in batches:
-            for text, target in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                pairs = vocab.pairs(text)
+            for coded, target in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                pairs = pairs_of(coded, size)
                 np.add.at(count[0], pairs, 1)
                 if target:
                     np.add.at(count[1], pairs, 1)
@@ -81,7 +103,7 @@ def pair_counts(flagged: DataFrame, vocabulary: Vocabulary):
     for name in ("n", "t"):
         dense = np.zeros(cells)
         dense[at] = got.column(name).to_numpy()
-        out.append(dense.reshape(vocabulary.size + 1, vocabulary.size))
+        out.append(dense.reshape(size + 1, size))
     return out
 
 
@@ -106,21 +128,18 @@ def losses(count):
 class LossTable:
     """Target and background bits of every pair."""
 
-    def __init__(self, vocabulary: Vocabulary, target, background):
-        self.words, self.size = list(vocabulary.ids), vocabulary.size
-        self.target, self.background = target.ravel(), background.ravel()
+    def __init__(self, size: int, target, background):
+        self.size, self.target, self.background = size, target.ravel(), background.ravel()
 
-    def vocabulary(self) -> Vocabulary:
-        return Vocabulary(self.words, self.size)
 
+def train(coded: DataFrame, labels: DataFrame, size: int) -> LossTable:
+    """Both models from (doc_id, words); target documents are those with a ``quality`` label of 1.
 
-def train(docs: DataFrame, labels: DataFrame, vocabulary: int = VOCABULARY) -> LossTable:
-    """Both models; target documents are those with a ``quality`` label of 1."""
-    vocab = Vocabulary(frequent_words(docs, vocabulary - 1), vocabulary)
+    The labels grow with the corpus, so the join is a merge at every size.
+    """
     good = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct().withColumn("target", F.lit(True))
-    flagged = id_and_text(docs).withColumn("text", F.lower("text")).join(good, "doc_id", "left")
-    count = pair_counts(flagged.select("doc_id", "text", "target"), vocab)
-    return LossTable(vocab, losses(count[1]), losses(count[0]))
+    count = pair_counts(coded.join(good.hint("merge"), "doc_id", "left").select("words", "target"), size)
+    return LossTable(size, losses(count[1]), losses(count[0]))
 
 
 def cross_entropy_difference(docs: DataFrame, labels: DataFrame, vocabulary: int = VOCABULARY) -> DataFrame:
@@ -132,25 +151,54 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, vocabulary: int
     empty result; other columns are ignored, whatever their names; very long
     texts are counted and scored whole.
     """
-    load = ship(docs.sparkSession, train(docs, labels, vocabulary))
-    rows = id_and_text(docs).withColumn("text", F.lower("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
+    coded = encode(docs, Vocabulary(frequent_words(docs, vocabulary - 1), vocabulary))
+    load = ship(docs.sparkSession, train(coded, labels, vocabulary))
+    kind = coded.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         import pyarrow as pa
 
         table = load()
-        vocab = table.vocabulary()
         for b in batches:
             n, target, background = [], [], []
-            for text in b.column(1).to_pylist():
-                pairs = vocab.pairs(text)
+            for words in b.column(1).to_pylist():
+                pairs = pairs_of(words, table.size)
                 n.append(len(pairs))
-                target.append(float(table.target[pairs].mean(dtype=float)) if len(pairs) else None)
-                background.append(float(table.background[pairs].mean(dtype=float)) if len(pairs) else None)
+                target.append(float(table.target[pairs].mean()) if len(pairs) else None)
+                background.append(float(table.background[pairs].mean()) if len(pairs) else None)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n, pa.int64()), pa.array(target, pa.float64()), pa.array(background, pa.float64())],
                 names=["doc_id", "n_words", "target_loss", "background_loss"])
 
-    out = rows.mapInArrow(run, f"doc_id {kind}, n_words long, target_loss double, background_loss double")
+    out = coded.mapInArrow(run, f"doc_id {kind}, n_words long, target_loss double, background_loss double")
     return out.withColumn("score", F.col("target_loss") - F.col("background_loss"))
+
+
+def duck_sql(size: int = VOCABULARY) -> str:
+    """DuckDB twin over the views ``documents`` and ``labels``."""
+    def model(name: str, rows: str) -> str:
+        return f"""
+{name}_pair AS (SELECT u, w, count(*) AS c FROM {rows} GROUP BY u, w),
+{name}_uni AS (SELECT v.w, (coalesce(sum(c), 0) + 1) / ((SELECT count(*) FROM {rows}) + {size}.0) AS p
+               FROM range({size}) v(w) LEFT JOIN {name}_pair USING (w) GROUP BY v.w),
+{name}_seen AS (SELECT u, sum(c) AS n, count(*) AS kinds FROM {name}_pair GROUP BY u)"""
+
+    def loss(name: str) -> str:
+        return (f"-log2(CASE WHEN {name}_seen.n IS NULL THEN {name}_uni.p ELSE (greatest(coalesce({name}_pair.c, 0) - {DISCOUNT}, 0) "
+                f"+ {DISCOUNT} * {name}_seen.kinds * {name}_uni.p) / {name}_seen.n END)")
+    joins = " ".join(f"JOIN {m}_uni ON {m}_uni.w = s.w LEFT JOIN {m}_seen ON {m}_seen.u = s.u "
+                     f"LEFT JOIN {m}_pair ON {m}_pair.u = s.u AND {m}_pair.w = s.w" for m in ("t", "b"))
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
+                  regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+x AS (SELECT rid, doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM d),
+vocab AS (SELECT word, row_number() OVER (ORDER BY count(*) DESC, word) AS id FROM x GROUP BY word
+          ORDER BY count(*) DESC, word LIMIT {size - 1}),
+ids AS (SELECT rid, doc_id, i, coalesce(id, 0) AS w FROM x LEFT JOIN vocab USING (word)),
+s AS (SELECT rid, doc_id, coalesce(lag(w) OVER (PARTITION BY rid ORDER BY i), {size}) AS u, w FROM ids),
+good AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1),
+st AS (SELECT s.* FROM s JOIN good USING (doc_id)),{model("t", "st")},{model("b", "s")},
+m AS (SELECT s.rid, avg({loss("t")}) AS target_loss, avg({loss("b")}) AS background_loss, count(*) AS n
+      FROM s {joins} GROUP BY s.rid)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_words, target_loss, background_loss, target_loss - background_loss AS score
+FROM d LEFT JOIN m USING (rid)"""
