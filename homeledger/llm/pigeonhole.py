@@ -145,3 +145,21 @@ def near_duplicates(embeddings: DataFrame, cosine: float = 0.98) -> DataFrame:
     alone = rows.where("NOT sound").select("vec_id", F.lit(0).cast("long").alias("n_links"),
                                            F.col("vec_id").alias("component_id"))
     return out.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
+def duck_sql(cosine: float = 0.98) -> str:
+    """DuckDB twin over the view ``embeddings``: every pair of one label, then reachability."""
+    return f"""
+WITH RECURSIVE e AS (SELECT row_number() OVER () AS rid, vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+n AS (SELECT *, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS norm FROM e
+      WHERE label IS NOT NULL AND v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT * FROM n WHERE norm > 0),
+link AS (SELECT a.rid AS a, b.rid AS b, b.vec_id AS id FROM s a JOIN s b ON a.label = b.label AND a.rid <> b.rid
+         AND len(a.v) = len(b.v) WHERE list_dot_product(a.v, b.v) / (a.norm * b.norm) >= {cosine}),
+reach AS (SELECT rid AS a, rid AS b, vec_id AS id FROM e UNION
+          SELECT reach.a, link.b, link.id FROM reach JOIN link ON link.a = reach.b),
+comp AS (SELECT a, min(id) AS component_id FROM reach GROUP BY a),
+cnt AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT e.vec_id, coalesce(cnt.n, 0)::BIGINT AS n_links, comp.component_id,
+       e.vec_id IS NOT DISTINCT FROM comp.component_id AS kept
+FROM e JOIN comp ON comp.a = e.rid LEFT JOIN cnt ON cnt.a = e.rid"""

@@ -93,6 +93,7 @@ def queries() -> dict[str, QueryFn]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from homeledger.llm import quality_rules
+    from homeledger.llm import cross_entropy, pigeonhole, quality_rules
 
-    return {"op5_quality_rules": quality_rules.duck_sql()}
+    return {"op5_quality_rules": quality_rules.duck_sql(), "op6_pigeonhole_join": pigeonhole.duck_sql(),
+            "op8_cross_entropy": cross_entropy.duck_sql()}
