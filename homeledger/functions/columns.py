@@ -58,11 +58,6 @@ def row_digest(cols: list[str]) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("decimal(38,0)")
 
 
-def title_label(name: Column) -> Column:
-    """'year_built' -> 'Year Built' (the message label used in refusals)."""
-    return F.initcap(F.regexp_replace(name, "_", " "))
-
-
 def money_text(x: Column) -> Column:
     """'$1,234,568' — half-even rounding to whole dollars, like Python's format."""
     return F.concat(F.lit("$"), F.format_number(x, 0))

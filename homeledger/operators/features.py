@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from homeledger.functions.columns import season_of
+from homeledger.functions.columns import nan_to_null, season_of
 from homeledger.functions.quantiles import exact_quantiles
 from homeledger.schema import (
     DEFAULT_MONTH, DEFAULT_SEASON, LISTING_KEYS, MEDIAN_IMPUTE_PLAN, NON_FEATURE_COLUMNS,
@@ -83,6 +83,7 @@ def _group_fill(df: DataFrame, cols: list[str], keys: list[str]) -> DataFrame:
     once and inlined as literals, so later jobs on the result do not recompute
     it.
     """
+    df = nan_to_null(df)
     meds = exact_quantiles(df, cols, [0.5], by=keys).select(
         *[F.col(f"`{k}`") for k in keys], *[F.col(f"`__q_{c}`")[0].alias(f"__g_{c}") for c in cols])
     j = df.join(meds, keys, "left")

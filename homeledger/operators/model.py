@@ -54,14 +54,16 @@ def train(df: DataFrame, features: list[str], model_type: str = "rf", params: di
     return Pipeline(stages=[_assembler(features), estimator(model_type, params, seed)]).fit(df)
 
 
-def split_target(df: DataFrame, features: list[str], target: str = TARGET) -> tuple[DataFrame, DataFrame]:
-    """#12: (y, X); a missing target or feature column raises, naming the first five."""
+def split_target(df: DataFrame, features: list[str], target: str = TARGET,
+                 keep: list[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """#12: (y, X), y with the row keys ``keep``; a missing target or feature column raises,
+    naming the first five."""
     if target not in df.columns:
         raise ValueError(f"target column {target!r} not found")
     missing = [c for c in features if c not in df.columns]
     if missing:
         raise ValueError(f"{len(missing)} feature columns missing, e.g. {missing[:5]}")
-    return df.select(target), df.select(*features)
+    return df.select(*keep, target), df.select(*[F.col(f"`{c}`") for c in features])
 
 
 def save_model(model: PipelineModel, path: str) -> None:

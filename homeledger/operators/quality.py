@@ -161,11 +161,6 @@ def schema_snapshot(df: DataFrame) -> DataFrame:
         F.col("__rows").alias("row_count"), F.lit(n_cols).alias("column_count"))
 
 
-def canonical_text(df: DataFrame) -> list[str]:
-    """Column order for fingerprints; doubles go through decimal(38,6) so the text is stable."""
-    return [f.name for f in df.schema.fields]
-
-
 def dataset_fingerprint(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     """#34: order-free content fingerprint: row count + sum of 52-bit row digests (decimal).
 

@@ -12,7 +12,7 @@ from homeledger.plans import standins as S
 from homeledger.plans.registry import register
 from homeledger.plans.sqlbits import KEYS_SQL, feature_ctes, with_cleaned, with_listings
 from homeledger.schema import LISTING_KEYS, ONE_HOT_COLUMNS
-from homeledger.session import scratch_path
+from homeledger.session import materialize, scratch_path
 from homeledger.sources.fixture import listings
 
 P = 10  # feature count used by the adjusted-R² formulas on stored predictions
@@ -76,7 +76,9 @@ def q_cv_scores(spark, sf):
           f"SELECT {KEYS_SQL}, actual, predicted, round(abs(predicted - actual), 4) AS abs_error, "
           f"round(abs(predicted - actual) * 100.0 / actual, 4) AS abs_pct_error FROM preds")
 def q_write_predictions(spark, sf):
-    p = EV.prediction_rows(S.stored_predictions(spark, sf), "actual", "predicted", LISTING_KEYS)
+    """The predictions are written and read back."""
+    rows = EV.prediction_rows(S.stored_predictions(spark, sf), "actual", "predicted", LISTING_KEYS)
+    p = materialize(rows, "predictions")
     return p.select(*LISTING_KEYS, "actual", "predicted", r4("abs_error"), r4("abs_pct_error"))
 
 
@@ -236,11 +238,13 @@ def q_attribution_rows(spark, sf):
 
 
 # ------------------------------------------------------------------ model fits (rows-only)
-@register("split_target")
+@register("split_target", lambda: with_cleaned(feature_ctes()) + (
+    f"SELECT {KEYS_SQL}, sold_price, CAST({len(NUMERIC) + 3} + (SELECT " + " + ".join(
+        f"(SELECT greatest(count(DISTINCT {c}) - 1, 0) FROM fe)" for c in ONE_HOT_COLUMNS) + ") AS INTEGER) AS n_features FROM fe"))
 def q_split_target(spark, sf):
     eng, feats = _training(spark, sf)
-    y, x = M.split_target(eng, feats)
-    return eng.select(*LISTING_KEYS, "sold_price", F.lit(len(feats)).alias("n_features"))
+    y, x = M.split_target(eng, feats, keep=LISTING_KEYS)
+    return y.select(*LISTING_KEYS, "sold_price", F.lit(len(x.columns)).alias("n_features"))
 
 
 @register("train_forest")

@@ -12,17 +12,19 @@ from homeledger.operators import score as SC
 
 def validate_and_route_stream(stream: DataFrame, out_path: str, checkpoint: str, ts: str,
                               by: str = "snapshot") -> StreamingQuery:
-    """Per micro-batch: reports for every snapshot in the batch (appended as JSON) and
-    the batch rows written under ``route=processed|errors/snapshot=…`` by verdict.
-    Each batch is written by one job per sink; a batch id makes replays idempotent."""
+    """Per micro-batch: reports for every snapshot in the batch (JSON) and the batch rows
+    under ``batch_id=…/route=processed|errors/snapshot=…`` by verdict.
+
+    A batch overwrites its own folders, so a replay repeats nothing.  The verdict
+    is that of the batch: a snapshot must arrive in one batch (its files moved
+    into the source folder at once) to be judged as a whole."""
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
-        reports = RV.validation_reports(batch, ts, by).withColumn("batch_id", F.lit(batch_id))
-        reports.write.mode("append").json(f"{out_path}/reports")
+        reports = RV.validation_reports(batch, ts, by)
+        reports.write.mode("overwrite").json(f"{out_path}/reports/batch_id={batch_id}")
         verdict = reports.select(by, F.when(F.col("success"), "processed").otherwise("errors").alias("route"))
-        (batch.join(F.broadcast(verdict), by)  # one row per snapshot in the batch
-              .withColumn("batch_id", F.lit(batch_id))
-              .write.mode("append").partitionBy("route", by).parquet(f"{out_path}/rows"))
+        (batch.join(verdict, by)
+              .write.mode("overwrite").partitionBy("route", by).parquet(f"{out_path}/rows/batch_id={batch_id}"))
         batch.unpersist()
 
     return (stream.writeStream.foreachBatch(handle)

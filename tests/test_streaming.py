@@ -29,11 +29,11 @@ def test_validate_and_route_stream(spark, tmp_path):
 def test_score_stream_matches_batch(spark, tmp_path):
     from homeledger.operators import model as M
     from homeledger.operators import score as SC
-    from homeledger.plans.q_score import AS_OF, requests, scoring_schema
+    from homeledger.plans.q_score import AS_OF, fitted, requests, scoring_schema
     from homeledger.schema import LISTING_KEYS
     from homeledger.streaming import score_stream
-    schema, eng, feats = scoring_schema(spark, SF_SMALL)
-    model = M.train(eng, feats, "rf", {"numTrees": 3, "maxDepth": 3})
+    schema = scoring_schema(spark, SF_SMALL)
+    model = M.load_model(f"{fitted(spark, SF_SMALL)}/model")
     req = requests(spark, SF_SMALL)
     src = str(tmp_path / "req")
     req.write.parquet(src)
