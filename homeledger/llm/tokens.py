@@ -7,8 +7,9 @@ from array import array
 
 from homeledger.llm.shared import worker_state
 
-#: Words kept per Python worker before the cache starts anew.
-CACHE_WORDS = 200_000
+#: Words and pre-tokens that one generation of a Python worker's cache holds.
+CACHE_WORDS = 150_000
+CACHE_PARTS = 300_000
 # Letters whose lower case and composed form are plain one-to-one steps.
 _LATIN = "À-ÖØ-öø-ÿĀ-įı-ſ"
 _PLAIN = re.compile(f"[!-~{_LATIN}]+").fullmatch
@@ -25,23 +26,38 @@ def byte_letters() -> dict[int, str]:
     return {c: "".join(stand[b] for b in chr(c).encode()) for c in range(0xC0, 0x180)}
 
 
-class PartIds(dict):
+class Generations(dict):
+    """A cache of two generations: a full one becomes the old one, and what is asked for again
+    moves back, so frequent keys stay and memory is bounded by twice ``most``."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.old = most, {}
+
+    def __missing__(self, key):
+        out = self.old.get(key)
+        if out is None:
+            out = self.make(key)
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[key] = out
+        return out
+
+
+class PartIds(Generations):
     """Lower-case pre-token -> its ids: words that differ in case or punctuation share them."""
 
     def __init__(self, bpe, code: str):
-        super().__init__()
+        super().__init__(CACHE_PARTS)
         self.bpe, self.code, self.letters = bpe, code, byte_letters()
 
-    def __missing__(self, part: str) -> bytes:
+    def make(self, part: str) -> bytes:
         plain = part if part.isascii() else part.translate(self.letters)
-        out = array(self.code, [t.id for t in self.bpe(plain)]).tobytes()
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[part] = out
-        return out
+        return array(self.code, [t.id for t in self.bpe(plain)]).tobytes()
 
 
-class WordIds(dict):
+class WordIds(Generations):
     """Word (UTF-8, no ASCII white space) -> its ids as little-endian bytes.
 
     Ids take 2 bytes when the vocabulary has at most 65,536 of them, else 4.
@@ -54,7 +70,7 @@ class WordIds(dict):
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
+        super().__init__(CACHE_WORDS)
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         self.code = "H" if self.tok.get_vocab_size() <= 65_536 else "I"
@@ -62,18 +78,13 @@ class WordIds(dict):
         self.size = array(self.code).itemsize
         self.dtype = f"<u{self.size}"
 
-    def __missing__(self, word: bytes) -> bytes:
+    def make(self, word: bytes) -> bytes:
+        if word.isalpha():  # ASCII letters only
+            return self.parts[word.lower().decode()]
         text = word.decode()
         if _PLAIN(text):
-            text = text.lower()
-            parts = (text,) if text.isalpha() else _PARTS(text)
-            out = b"".join(map(self.parts.__getitem__, parts))
-        else:
-            out = array(self.code, self.tok.encode(text, add_special_tokens=False).ids).tobytes()
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[word] = out
-        return out
+            return b"".join(map(self.parts.__getitem__, _PARTS(text.lower())))
+        return array(self.code, self.tok.encode(text, add_special_tokens=False).ids).tobytes()
 
     def text_ids(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, text.encode().split()))
