@@ -161,7 +161,8 @@ def train(docs: DataFrame, learn: Column, sample_bytes: int = SAMPLE_BYTES) -> C
         return ContextTrees([], [], [])
     share = F.create_map(*[F.lit(x) for k in langs for x in (k, min(1.0, sample_bytes / sizes[k][0]))])
     draw = F.expr("(xxhash64(doc_id, text) & 2147483647L) / 2147483648D")
-    sample = rows.where(draw < share[F.col("lang")]).select("lang", "text")
+    # repeated rows share one draw: each text counts once, so copies cannot swell the sample
+    sample = rows.where(draw < share[F.col("lang")]).select("lang", "text").distinct()
 
     def count(batches):
         import pyarrow as pa
