@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from homeledger.operators import quality as Q
-from homeledger.operators.rules import apply_filter_rules
+from homeledger.operators.rules import apply_filter_rules, split_column
 from homeledger.sources.io import stage_name, strip_known_prefix
 
 
@@ -101,6 +101,40 @@ def fix_and_approve(snapshots: DataFrame, rules: list[str], ts: str, by: str = "
                                                            F.lit(".csv"))).alias("removed_file"))
 
 
+def _write_files(rows: DataFrame, base_path: str) -> str:
+    """Rows as ``stage=…/file=…`` partitions; a rerun replaces the files it writes."""
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("stage", "file")
+     .parquet(base_path))
+    return base_path
+
+
+def write_fixed(snapshots: DataFrame, rules: list[str], base_path: str, by: str = "snapshot") -> str:
+    """#43: one pass over the quarantined rows — the rest of each snapshot to
+    processed/fixed_…, the rows that a rule removes to archive/removed_…"""
+    removed = F.col("split") == "removed"
+    return _write_files(split_column(snapshots, rules).select(
+        "*", F.when(removed, "archive").otherwise("processed").alias("stage"),
+        F.when(removed, stage_name("removed", F.col(by))).otherwise(stage_name("fixed", F.col(by))).alias("file"))
+        .drop("split"), base_path)
+
+
+def apply_decisions(snapshots: DataFrame, decisions: DataFrame, base_path: str, by: str = "snapshot") -> str:
+    """#42: rows of decided snapshots to the decision's destination (processed/approved_… or
+    archive/rejected_…); undecided ones stay in quarantine."""
+    to = decisions.select(strip_known_prefix(F.col("quarantined_snapshot")).alias(by),
+                          F.regexp_extract("destination_file", r"data/([^/]+)/", 1).alias("stage"),
+                          F.regexp_extract("destination_file", r"([^/]+)\.csv$", 1).alias("file"))
+    return _write_files(snapshots.join(to, by), base_path)
+
+
+def review_reports(decisions: DataFrame, reports: DataFrame) -> DataFrame:
+    """#42: decisions with the newest failing report of their snapshot as ``original_validation``."""
+    own = match_report(reports.where(~F.col("success"))).select("snapshot", F.struct(
+        "timestamp", "evaluated", "passed", "failed", "failures", "dataset_hash", "row_count").alias("original_validation"))
+    return (decisions.withColumn("snapshot", strip_known_prefix(F.col("quarantined_snapshot")))
+            .join(own, "snapshot", "left").drop("snapshot"))
+
+
 def review_audit(decisions: DataFrame, original: DataFrame, revalidated: DataFrame) -> DataFrame:
     """#44: per decision — failures in the original report, failures still present when
     approved (accepted by hand), and the re-validation count."""

@@ -9,6 +9,7 @@ from homeledger.operators import quality as Q
 from homeledger.plans.registry import register
 from homeledger.plans.sqlbits import qlist, with_cleaned
 from homeledger.schema import LISTING_COLUMNS
+from homeledger.session import scratch_path
 from homeledger.sources import io
 from homeledger.sources.fixture import listings
 
@@ -132,9 +133,17 @@ def _route_sql():
 
 @register("route_snapshot", _route_sql)
 def q_route_snapshot(spark, sf):
-    """#7: verdict -> route and the snapshot name of the one write."""
-    v = Q.summarize_suite(_results_both(spark, sf)[2], ["dataset"])
-    return io.route_verdict(v, F.lit("Cincinnati_OH_365d_20250414_183022")).select(
+    """#7: verdict -> route; the rows are written there and the place is read back."""
+    raw, clean, res = _results_both(spark, sf)
+    name = "Cincinnati_OH_365d_20250414_183022"
+    v = Q.summarize_suite(res, ["dataset"])
+    routed = io.route_verdict(v, F.lit(name))
+    base = scratch_path(spark, "routed")
+    for r in routed.collect():  # one verdict per dataset
+        io.route_snapshot({"raw": raw, "cleaned": clean}[r["dataset"]], r["success"], f"{base}/dataset={r['dataset']}", name)
+    written = spark.read.parquet(base).select("dataset", F.col("stage").alias("route"),
+                                              F.col("snapshot").alias("target_snapshot")).distinct()
+    return written.join(routed.select("dataset", "success"), "dataset").select(
         "dataset", "success", "route", "target_snapshot")
 
 

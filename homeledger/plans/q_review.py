@@ -16,6 +16,7 @@ from homeledger.plans.q_quality import fingerprint_sql, suite_sql
 from homeledger.plans.registry import register
 from homeledger.plans.sqlbits import with_cleaned
 from homeledger.schema import LISTING_COLUMNS
+from homeledger.session import scratch_path
 from homeledger.sources.fixture import listings
 from homeledger.sources.io import snapshot_label
 
@@ -129,7 +130,32 @@ def q_review_decision(spark, sf):
 def q_fix_and_approve(spark, sf):
     raw, run1, _ = _reports(spark, sf)
     quar = run1.where(~F.col("success")).select("snapshot")
-    return RV.fix_and_approve(raw.join(quar, "snapshot", "left_semi"), FIX_RULES, TS2)
+    snapshots = raw.join(quar, "snapshot", "left_semi")
+    path = RV.write_fixed(snapshots, FIX_RULES, scratch_path(spark, "fixed"))
+    # the counts of the report are those of the files, read back
+    files = spark.read.parquet(path).groupBy("snapshot").agg(
+        F.count_if(F.col("stage") == "processed").alias("rows_after"),
+        F.count_if(F.col("stage") == "archive").alias("rows_removed"))
+    report = RV.fix_and_approve(snapshots, FIX_RULES, TS2)
+    return report.drop("rows_after", "rows_removed").join(files, "snapshot").select(*report.columns)
+
+
+@register("review_moves", _sql(
+    "SELECT d.destination_file, d.decision, o.failed AS original_failed, count(*) AS rows FROM decisions d JOIN rawsnap s "
+    "ON s.snapshot = substr(d.quarantined_snapshot, 13) JOIN (SELECT DISTINCT ON (snapshot) snapshot, failed FROM "
+    "(SELECT * FROM run1 UNION ALL SELECT * FROM run2) WHERE NOT success ORDER BY snapshot, timestamp DESC, data_path DESC) o "
+    "ON o.snapshot = s.snapshot GROUP BY ALL"))
+def q_review_moves(spark, sf):
+    """#42: the rows that approving and rejecting moved, read back from their destinations."""
+    raw, run1, run2 = _reports(spark, sf)
+    decisions = RV.review_decisions(_reviews(run1))
+    path = scratch_path(spark, "reviewed")
+    for _ in range(2):  # a rerun adds nothing
+        RV.apply_decisions(raw, decisions, path)
+    moved = spark.read.parquet(path).groupBy("stage", "file").agg(F.count(F.lit(1)).alias("rows")).select(
+        F.concat(F.lit("data/"), "stage", F.lit("/"), "file", F.lit(".csv")).alias("destination_file"), "rows")
+    return RV.review_reports(decisions, run1.unionByName(run2)).join(moved, "destination_file").select(
+        "destination_file", "decision", F.col("original_validation.failed").alias("original_failed"), "rows")
 
 
 @register("review_audit", _sql(
