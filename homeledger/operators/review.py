@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 
 from homeledger.operators import quality as Q
 from homeledger.operators.rules import apply_filter_rules, split_column
+from homeledger.session import materialize
 from homeledger.sources.io import stage_name, strip_known_prefix
 
 
 def validation_reports(df: DataFrame, ts: str, by: str = "snapshot") -> DataFrame:
     """One report row per snapshot (F6): verdict, counts, fingerprint, data path, failures."""
-    res = Q.evaluate_suite(df, by=[by])
+    # one row per snapshot and expectation: written once, so the summary and the failures share one scan
+    res = materialize(Q.evaluate_suite(df, by=[by]), "suite")
     summ = Q.summarize_suite(res, [by])
     fails = (res.where(~F.col("success")).groupBy(by)
              .agg(F.array_sort(F.collect_list(F.struct("ordinal", "expectation", "kwargs",
