@@ -11,7 +11,8 @@ a unit with itself.  Units are mapped to the landmarks' Nyström space
 Labels belong to texts, so training is multiple-instance: the units of a
 toxic text that score highest are positive examples, those of a clean text and
 a draw of its other units negative ones; scoring and training take turns.  A text scores as its
-worst unit does, through a logistic curve fitted on the training texts.
+worst unit does, through a logistic curve fitted on the training texts and on
+padded forms of their insults.
 
 As the decision is linear in the subsequences, landmarks, Nyström map and SVM
 weights collapse into one weight per subsequence (exactly): a task scores each
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import itertools
 import re
+import zlib
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -322,8 +324,6 @@ def examples(sample: DataFrame, scorer: SubsequenceScorer, hard: int = 3, usual:
     others drawn by their checksum."""
 
     def pick(batches):
-        import zlib
-
         import pyarrow as pa
 
         for b in batches:
@@ -374,7 +374,11 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, max_toxic: int = MA
                                               pa.array(b.column(1).to_pylist(), pa.int32())], names=["x", "y"])
 
     got = sample.mapInArrow(best, "x double, y int").toPandas()
-    slope, shift = _logistic(got["x"].to_numpy(), got["y"].to_numpy())
+    # spelled-around insults are rare in the labels: a third as many padded witnesses stand for them
+    forms = sorted({v for u in sorted(witness, key=lambda u: (-witness[u], u))[: landmarks // 2]
+                    if negative.get(u, 0) < witness[u] for v in padded(u) if v not in negative},
+                   key=lambda v: zlib.crc32(v.encode()))[: n1 // 3]
+    slope, shift = _logistic(np.concatenate([got["x"], scorer.decide(forms)]), np.concatenate([got["y"], np.ones(len(forms))]))
     return SubsequenceScorer(scorer.codes, scorer.weights, scorer.bias, slope, shift)
 
 
