@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from homeledger.llm.shared import id_and_text
+from homeledger.llm.shared import id_and_text, tidy
 from homeledger.llm.tokens import word_ids
 
 TIERS = (256, 512, 1024, 2048)
@@ -143,6 +143,7 @@ def token_rows(docs: DataFrame, tokenizer: str, window: int, groups: int, with_i
                     out, held = [], 0
             if out:
                 yield flush(b.column(0), out)
+        tidy(keep="word_ids")
 
     schema = f"grp int, doc_id {kind}, start long, length long, doc_tokens long, ids_crc32 long, ids binary"
     return rows.mapInArrow(run, schema)

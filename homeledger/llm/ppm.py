@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from homeledger.llm.shared import fresh_name, id_bucket, ship
+from homeledger.llm.shared import fresh_name, id_bucket, ship, tidy
 
 ORDER = 3
 SAMPLE_BYTES = 2_000_000
@@ -202,10 +202,13 @@ def predictor(spark, trees: ContextTrees):
     def run(batches):
         import pandas as pd
 
+        tidy()
         model = load()
         for texts in batches:
             lang, score, bpb = model.predict([t if isinstance(t, str) else None for t in texts])
             yield pd.DataFrame({"lang_pred": lang, "score": score, "bits_per_byte": pd.Series(bpb, dtype="float64")})
+        del model
+        tidy()
 
     return F.pandas_udf(run, RESULT, F.PandasUDFType.SCALAR_ITER)
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
+from contextlib import suppress
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +25,22 @@ def worker_state(name: str, factory):
     return getattr(box, name)
 
 
+def tidy(keep: str | None = None) -> None:
+    """Give back what a Python worker holds of earlier stages (all kept state but ``keep``).
+
+    Workers outlive stages, so without this the caches and the free memory of
+    one operator stay with the executor while the next one runs.
+    """
+    import pyarrow as pa
+
+    box = sys.modules.get("_homeledger_worker")
+    for name in [n for n in vars(box or types.SimpleNamespace()) if not n.startswith("__") and n != keep]:
+        delattr(box, name)
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # a C library without it keeps its free memory
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def ship(spark, model):
     """Broadcast a model's plain state; the returned function builds the model anew in a worker.
 

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from homeledger.llm.shared import fresh_name, id_and_text, min_reachable
+from homeledger.llm.shared import fresh_name, id_and_text, min_reachable, tidy
 from homeledger.session import materialize
 
 BITS = 64
@@ -58,9 +58,11 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
+        tidy()
         for b in batches:
             fp = [text_fingerprint(t, shingle) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.int64())], names=["doc_id", "fp"])
+        tidy()
 
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long")
 

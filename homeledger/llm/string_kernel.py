@@ -31,7 +31,7 @@ import zlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from homeledger.llm.shared import fresh_name, id_bucket, ship
+from homeledger.llm.shared import fresh_name, id_bucket, ship, tidy
 from homeledger.session import materialize
 
 SPAN = 6
@@ -286,6 +286,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, max_toxic
                        .agg(F.max("toxic").alias("toxic")).select("text", "toxic"), "toxic-sample")
 
 
+def runs_of(batch, rows: int):
+    """Slices of at most ``rows`` rows of an Arrow batch."""
+    for lo in range(0, batch.num_rows, rows):
+        yield batch.slice(lo, rows)
+
+
 def telling_subsequences(sample: DataFrame, most: int = 20_000) -> SubsequenceScorer:
     """First scorer: subsequences found in a larger share of toxic than of clean texts, by a bound on the ratio."""
     import numpy as np
@@ -293,7 +299,8 @@ def telling_subsequences(sample: DataFrame, most: int = 20_000) -> SubsequenceSc
     def count(batches):
         import pyarrow as pa
 
-        for b in batches:
+        tidy()
+        for b in (part for whole in batches for part in runs_of(whole, 100)):
             toxic = np.asarray(b.column(1).to_pylist())
             codes, label = [], []
             for text, t in zip(b.column(0).to_pylist(), toxic):
@@ -306,6 +313,8 @@ def telling_subsequences(sample: DataFrame, most: int = 20_000) -> SubsequenceSc
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(got.view(np.int64)), pa.array(pos), pa.array(np.bincount(back, minlength=len(got)) - pos)],
                     names=["code", "pos", "neg"])
+                del got, back, pos, codes, label
+        tidy()
 
     n1, n0 = sample.agg(F.expr("count_if(toxic = 1)"), F.expr("count_if(toxic = 0)")).first()
     # Lower confidence bound of the log ratio of the two shares: frequent and pure subsequences lead.
@@ -390,6 +399,7 @@ def predictor(spark, scorer: SubsequenceScorer):
         import numpy as np
         import pandas as pd
 
+        tidy()
         model = load()
         for texts in batches:
             score, part, n = [], [], 0
@@ -404,6 +414,8 @@ def predictor(spark, scorer: SubsequenceScorer):
                 score.append(model.score(part))
             score = np.concatenate(score) if score else np.empty(0)
             yield pd.DataFrame({"score": score, "predicted": (score >= 0.5).astype("int32")})
+        del model
+        tidy()
 
     return F.pandas_udf(run, RESULT, F.PandasUDFType.SCALAR_ITER)
 
