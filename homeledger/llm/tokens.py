@@ -8,8 +8,8 @@ from array import array
 from homeledger.llm.shared import worker_state
 
 #: Words and pre-tokens that one generation of a Python worker's cache holds.
-CACHE_WORDS = 200_000
-CACHE_PARTS = 400_000
+CACHE_WORDS = 300_000
+CACHE_PARTS = 600_000
 # Letters whose lower case and composed form are plain one-to-one steps.
 _LATIN = "À-ÖØ-öø-ÿĀ-įı-ſ"
 _PLAIN = re.compile(f"[!-~{_LATIN}]+").fullmatch
