@@ -64,3 +64,37 @@ def test_edges(spark):
     got = check_edges(spark, lambda d: X.cross_entropy_difference(d, labels, 40))
     assert all(r["n_words"] == 0 and r["score"] is None for r in got.where("doc_id IN (1, 2, 3)").collect())
     assert X.cross_entropy_difference(awkward(spark), labels.where("quality = 9"), 40).count() == awkward(spark).count()
+
+
+def test_all_words_are_told_apart(spark, monkeypatch):
+    """More distinct words than any table of frequent words, several blocks and buckets."""
+    import duckdb
+
+    monkeypatch.setattr(X, "BLOCK_CHARS", 20_000)
+    monkeypatch.setattr(X, "BUCKET_BYTES", 30_000)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").limit(150).toPandas()
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "quality").toPandas()
+    words = {w for t in docs["text"] for w in t.lower().encode().split()}
+    assert len(words) > 2048
+    good = set(labels["doc_id"][labels["quality"] == 1])
+    want = brute(list(zip(docs["doc_id"], docs["text"])), good, len(words) + 1)
+    con = duckdb.connect()
+    con.register("documents", docs)
+    con.register("labels", labels)
+    twin = {r[0]: r[1:] for r in con.execute(X.duck_sql(len(words) + 1)).fetchall()}
+    got = X.cross_entropy_difference(spark.createDataFrame(docs), spark.createDataFrame(labels)).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        assert r["n_words"] == want[r["doc_id"]][0]
+        assert np.allclose([r["target_loss"], r["background_loss"]], want[r["doc_id"]][1:])
+        assert np.allclose(list(r)[1:], twin[r["doc_id"]])
+
+
+def test_rare_words_change_the_score(spark):
+    """Two documents that differ in rare words only, one sharing them with the target."""
+    common = [f"c{k}" for k in range(3000)]
+    rows = [(k, f"{' '.join(common)} end") for k in range(3)] + [(10, "c1 rarea c2"), (11, "c1 rareb c2"), (12, "c1 rarea c2")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(12, 1)], "doc_id long, quality int")
+    score = {r["doc_id"]: r["score"] for r in X.cross_entropy_difference(docs, labels).collect()}
+    assert score[10] == score[12] < score[11] - 0.5
