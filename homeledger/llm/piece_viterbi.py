@@ -1,13 +1,19 @@
-"""SentencePiece encoding and decoding by a shared-prefix Viterbi search (operator 9).
-
-Encoding takes the segmentation into vocabulary pieces with the highest sum of
-piece scores (the unigram rule; of equal sums, at every place the piece that
-starts first).  No piece holds the space mark after another character, so a
-text falls apart into marked words (a run of marks and what follows), and each
-distinct word has one answer.  A batch's new words are sorted, which lines them
-up as a depth-first walk of their trie: the forward scores, back pointers and
-open pieces of the prefix shared with the word before are kept, and only the
-rest is searched.  Words are remembered per Python worker.
+"""SentencePiece encoding and decoding by the model's own merges (operator 9).
+
+The public model is a BPE model: its scores are minus the merge ranks, and a
+text's encoding joins, again and again, the neighbours whose piece has the
+highest score (of equal scores, the leftmost).  ``MergeCoder`` does that and
+gives SentencePiece's ids; the queries use it.  ``PieceCoder`` alone takes the
+segmentation with the highest sum of scores (the unigram rule), which is another
+encoding under such a model.
+
+No piece holds the space mark after another character, so a text falls apart
+into marked words (a run of marks and what follows), and each distinct word has
+one answer.  Words are remembered per Python worker.  ``PieceCoder`` sorts a
+batch's new words, which lines them up as a depth-first walk of their trie: the
+forward scores, back pointers and open pieces of the prefix shared with the word
+before are kept, and only the rest is searched (of equal sums, at every place
+the piece that starts first).
 
 Characters without a piece become the byte pieces of their UTF-8 form.
 """
@@ -16,6 +22,7 @@ from __future__ import annotations
 
 import re
 from array import array
+from heapq import heapify, heappop, heappush
 from os.path import commonprefix
 
 from pyspark.sql import DataFrame
@@ -27,6 +34,8 @@ from homeledger.llm.shared import fresh_name, worker_state
 MARK = "▁"
 CACHE_WORDS = 200_000
 UNKNOWN_PENALTY = 10.0
+NO_PIECE = float("inf")
+LONG_WORD = 64  # characters; longer words are merged from a heap
 
 
 class PieceCoder:
@@ -37,6 +46,8 @@ class PieceCoder:
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         self.trie: dict = {}
+        self.rank: dict[str, float] = {}
+        self.ids: dict[str, int] = {}
         self.code = "H" if sp.get_piece_size() <= 65_536 else "I"
         self.out: list[bytes] = []
         lowest, texts = 0.0, []
@@ -53,6 +64,7 @@ class PieceCoder:
                 for c in piece:
                     node = node.setdefault(c, {})
                 node[""] = (sp.get_score(i), i)
+                self.rank[piece], self.ids[piece] = -sp.get_score(i), i
                 lowest = min(lowest, sp.get_score(i))
                 texts.append(piece)
                 self.out.append(piece.replace(MARK, " ").encode())
@@ -128,11 +140,64 @@ class PieceCoder:
         return b"".join(map(self.out.__getitem__, ids)).decode("utf-8", "replace")[1:]
 
 
-def coder(path: str) -> PieceCoder:
+class MergeCoder(PieceCoder):
+    """Encoder in the merge order of a BPE model file: the ids of SentencePiece itself."""
+
+    def learn(self, words) -> None:
+        """Merge the characters of distinct words."""
+        rank, ids, cache = self.rank.get, self.ids.get, self.cache
+        for word in words:
+            parts = list(word)
+            if len(parts) > LONG_WORD:
+                parts = self.merge_long(parts)
+            else:
+                ranks = [rank(a + b, NO_PIECE) for a, b in zip(parts, parts[1:])]
+                while ranks:
+                    low = min(ranks)
+                    if low == NO_PIECE:
+                        break
+                    i = ranks.index(low)
+                    parts[i:i + 2] = [parts[i] + parts[i + 1]]
+                    del ranks[i]
+                    if i:
+                        ranks[i - 1] = rank(parts[i - 1] + parts[i], NO_PIECE)
+                    if i < len(ranks):
+                        ranks[i] = rank(parts[i] + parts[i + 1], NO_PIECE)
+            out = []
+            for p in parts:
+                k = ids(p)
+                if k is not None:
+                    out.append(k)
+                else:
+                    out += [self.byte_ids[x] for x in p.encode()]
+            cache[word] = array(self.code, out).tobytes()
+
+    def merge_long(self, parts: list[str]) -> list[str]:
+        """The same merges for a long word: the next one from a heap, neighbours in linked lists."""
+        rank, n = self.rank.get, len(parts)
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        heap = [(r, i, i + 1, 2) for i in range(n - 1) if (r := rank(parts[i] + parts[i + 1])) is not None]
+        heapify(heap)
+        while heap:
+            _, i, j, size = heappop(heap)
+            if not parts[i] or not parts[j] or after[i] != j or len(parts[i]) + len(parts[j]) != size:
+                continue
+            parts[i] += parts[j]
+            parts[j] = ""
+            after[i] = after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            for a, b in ((before[i], i), (i, after[i])):
+                if a >= 0 and b < n and (r := rank(parts[a] + parts[b])) is not None:
+                    heappush(heap, (r, a, b, len(parts[a]) + len(parts[b])))
+        return [p for p in parts if p]
+
+
+def coder(path: str) -> MergeCoder:
     """The worker's coder for a model file."""
     held = worker_state("piece_coders", dict)
     if path not in held:
-        held[path] = PieceCoder(path)
+        held[path] = MergeCoder(path)
     return held[path]
 
 

@@ -79,3 +79,35 @@ def test_edges(spark):
     assert V.encode(docs.where("doc_id = -1"), piece_model()).count() == 0
     trip = V.round_trip(docs, piece_model()).collect()
     assert all(r["round_trip"] for r in trip)
+
+
+@pytest.fixture(scope="module")
+def own():
+    import sentencepiece
+    return V.MergeCoder(piece_model()), sentencepiece.SentencePieceProcessor(model_file=piece_model())
+
+
+def test_ids_are_those_of_sentencepiece(spark):
+    """Whole documents through the operator."""
+    import sentencepiece
+    sp = sentencepiece.SentencePieceProcessor(model_file=piece_model())
+    rows = V.encode(spark.read.parquet(f"{SF}/documents.parquet"), piece_model()).collect()
+    assert len(rows) >= 200
+    for r in rows:
+        assert r["ids"] == sp.encode(r["text"])
+
+
+def test_merges_of_awkward_texts(own):
+    coder, sp = own
+    long = "understandinginternationalcommunication" * 20
+    for text in [*TEXTS, long, "a" * 5000, " " * 300, " " * 65 + "x", "ab" * 33 + "日本é\x00" * 30, "<s> </s> <unk> <0x0A>", "a▁▁b",
+                 "understanding international communication requirements"]:
+        assert ids_of(coder, text) == sp.encode(text), text
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text("abtheringso \n▁é", max_size=90), max_size=5))
+def test_merges_of_any_batch(own, texts):
+    coder, sp = own
+    for text, got in zip(texts, coder.encode(texts)):
+        assert np.frombuffer(got, "<u2").tolist() == sp.encode(text)
