@@ -26,6 +26,7 @@ from homeledger.llm.tokens import word_ids
 TIERS = (256, 512, 1024, 2048)
 END_ID = 1
 GROUP_BYTES = 4 << 20
+ROW_BYTES = 32  # what a row counts besides its text: it gives an end id and a piece
 STEP_SLOTS = 32
 
 
@@ -165,7 +166,7 @@ def pack(docs: DataFrame, tokenizer: str, tiers: tuple[int, ...] = TIERS, group_
     tiers = tuple(sorted(tiers))
     window = tiers[-1]
     rows = id_and_text(docs)
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    total = rows.agg(F.sum(F.octet_length("text") + ROW_BYTES)).first()[0] or 0
     groups = max(1, -(-int(total) // group_bytes))
     pieces = token_rows(docs, tokenizer, window, groups, with_ids)
     kind = pieces.schema["doc_id"].dataType.simpleString()

@@ -101,3 +101,13 @@ def test_word_ids_follow_the_tokenizer():
     words = [a + chr(c) + b for c in range(33, 0x180) for a in ("", "x", "É", "'") for b in ("", "s", "3", "'ll")]
     for text in [*words, "a b\x1cc", "İ ΑΣ ﬁ 한국어", "x́ <|endoftext|> don't I'LL"]:
         assert np.frombuffer(w.text_ids(text), w.dtype).tolist() == w.tok.encode(text, add_special_tokens=False).ids
+
+
+def test_rows_without_text_spread_over_groups(spark):
+    """Every row gives an end id, so rows count towards the number of groups."""
+    docs = spark.range(4000).selectExpr("id AS doc_id", "if(id % 2 = 0, '', null) AS text")
+    pieces = packing.pack(docs, word_tokenizer(), group_bytes=4000).collect()
+    rows = defaultdict(int)
+    for r in pieces:
+        rows[r["sequence_id"] >> 32] += 1
+    assert sum(rows.values()) == 4000 and len(rows) > 16 and max(rows.values()) < 1000
