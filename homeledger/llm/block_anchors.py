@@ -8,36 +8,34 @@ block length probes the index:
 1. Documents lie in a written table in chunks of some megabytes.  A chunk sends
    each bucket of hashes one message: its distinct rolling hashes, packed to
    about two bytes each, and its block hashes with the smallest document id.
-2. A bucket answers which of them meet a block of another place, and with the
-   smallest id that has it.  A chunk keeps the hits: its blocks that something
-   else met, and its windows that a block of a smaller document meets.
-3. Hits of one block are extended together.  A hit carries the hashes of all
-   windows of ``window`` words that hold its block, one per way to extend it to
-   the left and right; it reaches as far as some smaller document's hit of the
-   same block agrees.  Overlapping extensions join into maximal repeats.
-   Blocks with very many hits are extended key by key in Spark aggregates.
-
-No pair of documents is ever formed: the work grows with words and hits, however
-many documents share a passage.  Hashes have 64 bits, and an extension agrees
-only when both its block's and its window's hash do.
+2. A bucket answers which of them meet a block of another place, and the
+   smallest id that has it.  These are the hits: blocks that something else met,
+   and rolling windows that a block of a smaller document meets.
+3. A hit is extended to the left and right: all windows of ``window`` words that
+   hold it are compared with those that hold the blocks it met, again by one
+   message per chunk and bucket, with whole 64-bit hashes.  A document loses
+   the extensions that agree with one of a smaller document; where they overlap
+   they join into maximal repeats.
+
+No pair of documents is formed and no row is made per hit: a chunk names a hash
+once, however many documents share a passage, so no key is hot and no group
+grows beyond a bucket's share.  Messages number at most chunks times buckets,
+and never more than the hashes in them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from homeledger.llm.shared import id_and_text, tidy
 from homeledger.llm.wordhash import word_hashes
 from homeledger.session import materialize, scratch_path
 
-#: Bytes of text and rows of a chunk; words of a bucket; hits of a group, and from where on a block is extended in Spark.
+#: Bytes of text and rows of a chunk; words of a bucket; parts into which the join of copies deals one key.
 CHUNK_BYTES = 4 << 20
 CHUNK_ROWS = 1 << 16
 BUCKET_WORDS = 4_000_000
-GROUP_HITS = 16_384
-HOT_HITS = 4_096
-#: Parts into which joins deal one key.
 SALTS = 16
 _RUN = 1 << 20
 _NONE = (1 << 63) - 1
@@ -225,7 +223,7 @@ def messages(docs: DataFrame, block: int, buckets: int) -> DataFrame:
             yield send(at, ids, texts)
         tidy()
 
-    return (docs.select("chunk", "id", F.col("text").cast("binary").alias("text"))
+    return (docs.select("chunk", "id", "text")
             .mapInArrow(run, "bucket long, chunk long, n long, probes binary, refs binary, low binary"))
 
 
@@ -265,7 +263,7 @@ def answers(sent: DataFrame) -> DataFrame:
 
 def copies(docs: DataFrame) -> DataFrame:
     """(chunk, rid) of every document whose words another one with a smaller id has, all of them."""
-    ids = docs.select("chunk", "rid", "id", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("sha"))
+    ids = docs.select("chunk", "rid", "id", F.unhex(F.sha2("text", 256)).alias("sha"))
     first = ids.groupBy("sha").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id"))
     first = first.where("first_id < last_id").select(
         "sha", "first_id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
@@ -273,135 +271,168 @@ def copies(docs: DataFrame) -> DataFrame:
             .where("id > first_id").select("chunk", "rid"))
 
 
-def hits(docs: DataFrame, replies: DataFrame, block: int, window: int, buckets: int) -> DataFrame:
-    """(x, rid, id, place, ref, probe, keys): blocks that were met and windows that meet a smaller document's block.
+def _replies(table, kind: str):
+    """(sorted hashes, smallest id of each) of a chunk's replies."""
+    import numpy as np
+
+    rows = [(b, x, m) for b, x, m in zip(*(table.column(c).to_pylist() for c in ("bucket", "x", "low"))) if x is not None]
+    if not rows:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    key = np.concatenate([np.frombuffer(x, kind).astype(np.uint64) | np.uint64((b << 32) if kind == "<u4" else 0)
+                          for b, x, _ in rows])
+    low = np.concatenate([np.frombuffer(m, "<i8") for _, _, m in rows])
+    key, one = np.unique(key, return_index=True)  # the parts of a cut chunk may both have asked
+    return key, low[one]
+
+
+def _look_up(key, low, mine):
+    """Smallest id known for each of ``mine``, or a number above all ids."""
+    import numpy as np
+
+    if not len(key):
+        return np.full(len(mine), _NONE)
+    at = np.minimum(np.searchsorted(key, mine), len(key) - 1)
+    return np.where(key[at] == mine, low[at], _NONE)
+
+
+def _stretch(places, size: int, before: int, first, last):
+    """Marks of the window starts up to ``before`` words before each place, between ``first`` and ``last``."""
+    import numpy as np
+
+    lo, hi = np.maximum(places - before, first), np.minimum(places, last)
+    lo, hi = lo[hi >= lo], hi[hi >= lo]
+    step = np.bincount(lo, minlength=size + 1) - np.bincount(hi + 1, minlength=size + 1)
+    return np.cumsum(step[:size]) > 0
 
-    ``keys`` are the hashes of the windows of ``window`` words that begin 0, 1, ... words before the hit;
-    null where the document does not reach so far.
-    """
-    names = ["x", "rid", "id", "place", "ref", "probe", "keys"]
-    kinds = "x long, rid long, id long, place long, ref boolean, probe boolean, keys array<long>"
-    reach = window - block + 1
+
+def extensions(docs: DataFrame, replies: DataFrame, window: int, buckets: int) -> DataFrame:
+    """One row per chunk and bucket: hashes of the windows that hold a hit, which of them ask, and the
+    smallest id of those that hold a block which was met."""
+    block = (window + 1) // 2
+    names = ["bucket", "chunk", "n", "w", "ask", "ref", "low"]
 
     def run(left, right):
         import numpy as np
         import pyarrow as pa
 
-        empty = pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(),
-                                                    pa.bool_(), pa.list_(pa.int64()))], names=names)
-        met = [(b, x, m) for b, x, m in zip(*(right.column(c).to_pylist() for c in ("bucket", "x", "low")))
-               if x is not None]
-        if not left.num_rows or not met:
-            return empty
-        order = sorted(range(len(met)), key=lambda k: met[k][0])
-        key = np.concatenate([np.frombuffer(met[k][1], "<u4").astype(np.uint64) | np.uint64(met[k][0] << 32)
-                              for k in order])
-        low = np.concatenate([np.frombuffer(met[k][2], "<i8") for k in order])
-        key, one = np.unique(key, return_index=True)  # the parts of one chunk may both have asked
-        low = low[one]
+        empty = pa.table([pa.array([], t) for t in (pa.int64(),) * 3 + (pa.binary(),) * 4], names=names)
+        key, low = _replies(right, "<u4")
         gone = {r for r in right.column("rid").to_pylist() if r is not None}
         left = left.filter(pa.array([r not in gone for r in left.column("rid").to_pylist()], pa.bool_()))
-        if not left.num_rows:
+        if not left.num_rows or not len(key):
             return empty
-        rid, ids = (left.column(c).to_numpy() for c in ("rid", "id"))
+        ids = left.column("id").to_numpy()
         r = Rolled(left.column("text").to_pylist(), block)
-        mine = r.keys(buckets)
-        at = np.minimum(np.searchsorted(key, mine), len(key) - 1)
-        found = key[at] == mine
-        probe = found & (low[at] < ids[r.owner])
-        take = np.flatnonzero(probe | (found & r.aligned))
-        if not len(take):
+        met = _look_up(key, low, r.keys(buckets))
+        first, last = r.first[:-1][r.owner], r.first[1:][r.owner] - window
+        marks = []
+        for take in (met < ids[r.owner], (met < _NONE) & r.aligned):
+            marks.append(_stretch(r.at[take], len(r.h), window - block, first[take], last[take]))
+        ask, ref = marks
+        place = np.flatnonzero(ask | ref)
+        if not len(place):
             return empty
-        whole = rolling(r.h, window).view(np.int64)
-        own, i = r.owner[take], r.at[take]
-        start = i[:, None] - np.arange(reach)
-        inside = (start >= r.first[own][:, None]) & (start + window <= r.first[own + 1][:, None])
-        values = whole[np.where(inside, start, 0)] if len(whole) else np.zeros(inside.shape, np.int64)
-        flat = pa.array(values.ravel(), mask=~inside.ravel())
-        keys = pa.ListArray.from_arrays(pa.array(np.arange(len(take) + 1) * reach, pa.int32()), flat)
-        return pa.table([pa.array(r.x[take].view(np.int64)), pa.array(rid[own]), pa.array(ids[own]),
-                         pa.array(r.place[take]), pa.array(r.aligned[take]), pa.array(probe[take]), keys], names=names)
-
-    rows = docs.select("chunk", "rid", "id", F.col("text").cast("binary").alias("text"))
-    return rows.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(run, kinds)
-
-
-def _extend(table):
-    """Extensions of the hits of some blocks: bit r of ``reach`` is set where the window r words before agrees."""
+        w, inv = np.unique(rolling(r.h, window)[place], return_inverse=True)
+        least = np.full(len(w), _NONE)
+        owner = np.searchsorted(r.first, place, side="right") - 1
+        own = ref[place]
+        np.minimum.at(least, inv[own], ids[owner[own]])
+        asks = np.zeros(len(w), bool)
+        asks[inv[ask[place]]] = True
+        to = (w >> np.uint64(32)) % np.uint64(buckets)
+        order = np.argsort(to, kind="stable")
+        w, least, asks, to = w[order], least[order], asks[order], to[order]
+        b, at = np.unique(to, return_index=True)
+        parts = list(zip(at, [*at[1:], len(to)]))
+        known = least < _NONE
+        return pa.table(
+            [pa.array(b.astype(np.int64)), pa.array([left.column("chunk")[0].as_py()] * len(b), pa.int64()),
+             pa.array([j - i for i, j in parts], pa.int64()),
+             pa.array([w[i:j].astype("<u8").tobytes() for i, j in parts], pa.binary()),
+             pa.array([np.packbits(asks[i:j]).tobytes() for i, j in parts], pa.binary()),
+             pa.array([np.packbits(known[i:j]).tobytes() for i, j in parts], pa.binary()),
+             pa.array([least[i:j][known[i:j]].astype("<i8").tobytes() for i, j in parts], pa.binary())], names=names)
+
+    return (docs.groupBy("chunk").cogroup(replies.groupBy("chunk"))
+            .applyInArrow(run, "bucket long, chunk long, n long, w binary, ask binary, ref binary, low binary"))
+
+
+def agreed(sent: DataFrame) -> DataFrame:
+    """(chunk, bucket, hashes, smallest id) of the windows that a chunk asked for and some document has."""
+
+    def run(table):
+        import numpy as np
+        import pyarrow as pa
+
+        bits = lambda data, n: np.unpackbits(np.frombuffer(data, np.uint8), count=n).astype(bool)
+        rows = [(c, np.frombuffer(w, "<u8"), bits(a, n), bits(k, n), np.frombuffer(m, "<i8")) for c, n, w, a, k, m in
+                zip(*(table.column(c).to_pylist() for c in ("chunk", "n", "w", "ask", "ref", "low")))]
+        known, inv = np.unique(np.concatenate([w[k] for _, w, _, k, _ in rows]), return_inverse=True)
+        least = np.full(len(known), _NONE)
+        np.minimum.at(least, inv, np.concatenate([m for *_, m in rows]))
+        out = []
+        for c, w, asks, _, _ in rows:
+            mine = w[asks]
+            low = _look_up(known, least, mine)
+            some = low < _NONE
+            if some.any():
+                out.append((c, mine[some].tobytes(), low[some].astype("<i8").tobytes()))
+        return pa.table([pa.array([c for c, _, _ in out], pa.int64()),
+                         pa.array([table.column("bucket")[0].as_py()] * len(out), pa.int64()),
+                         pa.array([x for _, x, _ in out], pa.binary()), pa.array([m for _, _, m in out], pa.binary())],
+                        names=["chunk", "bucket", "x", "low"])
+
+    return sent.groupBy("bucket").applyInArrow(run, "chunk long, bucket long, x binary, low binary")
+
+
+def _kept(doc_id, n_words, texts, gone):
+    """Result columns from the marks of removed words, one array per text (None: nothing is removed)."""
     import numpy as np
     import pyarrow as pa
 
-    table = table.combine_chunks()
-    x, ids = table.column("x").to_numpy().view(np.uint64), table.column("id").to_numpy()
-    ref, probe = (table.column(c).to_numpy(zero_copy_only=False) for c in ("ref", "probe"))
-    flat = pa.concat_arrays(table.column("keys").chunks).flatten()
-    there = flat.is_valid().to_numpy(zero_copy_only=False).reshape(len(x), -1)
-    keys = flat.fill_null(0).to_numpy().view(np.uint64).reshape(len(x), -1)
-    mixed = keys ^ (x * np.uint64(0x9E3779B97F4A7C15))[:, None]  # equal where both block and window are
-    reach = np.zeros(len(x), np.int64)
-    for r in range(keys.shape[1]):
-        rows = np.flatnonzero(there[:, r])
-        known, inv = np.unique(mixed[rows, r], return_inverse=True)
-        low = np.full(len(known), _NONE)
-        own = ref[rows]
-        np.minimum.at(low, inv[own], ids[rows][own])
-        reach[rows] |= ((low[inv] < ids[rows]) & probe[rows]).astype(np.int64) << r
-    some = np.flatnonzero(reach)
-    return pa.table([pa.array(table.column("rid").to_numpy()[some]), pa.array(table.column("place").to_numpy()[some]),
-                     pa.array(reach[some])], names=["rid", "place", "reach"])
-
-
-def extend(found: DataFrame) -> DataFrame:
-    """(rid, place, reach) of every hit that a smaller document's hit of the same block extends."""
-    size = found.groupBy("x").agg(F.count("*").alias("n"))
-    hot = materialize(size.where(F.col("n") > HOT_HITS).select("x"), "anchors-hot")
-    some = bool(hot.take(1))
-    cold = found.join(hot, "x", "left_anti") if some else found
-    groups = max(1, -(-found.count() // GROUP_HITS))
-    out = (cold.withColumn("grp", F.pmod(F.xxhash64("x"), F.lit(groups))).groupBy("grp")
-           .applyInArrow(_extend, "rid long, place long, reach long"))
-    if not some:
-        return out
-    keys = (found.join(hot, "x", "left_semi")
-            .select("x", "rid", "id", "place", "ref", "probe", F.posexplode("keys").alias("r", "key"))
-            .where("key IS NOT NULL"))
-    least = (keys.where("ref").groupBy("x", "r", "key").agg(F.min("id").alias("low"))
-             .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
-    more = (keys.where("probe").withColumn("salt", F.pmod("rid", F.lit(SALTS)).cast("int"))
-            .join(least, ["x", "r", "key", "salt"]).where("low < id")
-            .select("rid", "place", F.expr("shiftleft(1L, r)").alias("reach")))
-    return out.unionByName(more)
-
-
-def repeats(table: DataFrame, window: int) -> DataFrame:
-    """(rid, marks): extensions of each document of a chunk table; a mark at -1 means all of its words."""
-    block = (window + 1) // 2
-    docs = table.where((F.col("n_words") >= window) & F.col("id").isNotNull())
-    size = docs.agg(F.sum("n_words")).first()[0] or 0
-    buckets = max(1, -(-size // BUCKET_WORDS))
-    gone = materialize(copies(docs), "anchors-copies")
-    told = answers(messages(docs, block, buckets))
-    replies = told.withColumn("rid", F.lit(None).cast("long")).unionByName(
-        gone.withColumn("rid", F.col("rid")), allowMissingColumns=True)
-    found = materialize(hits(docs, replies, block, window, buckets), "anchors-hits")
-    marks = extend(found).unionByName(gone.select("rid", F.lit(-1).cast("long").alias("place"),
-                                                  F.lit(0).cast("long").alias("reach")))
-    return marks.groupBy("rid").agg(F.collect_list(F.struct("place", "reach")).alias("marks"))
-
-
-def covered(n: int, marks, window: int):
-    """Which of ``n`` words the extensions cover."""
-    import numpy as np
+    n_removed, spans, kept = [], [], []
+    for t, g in zip(texts, gone):
+        if g is None or not g.any():
+            n_removed.append(0)
+            spans.append([])
+            kept.append(t)
+            continue
+        edge = np.flatnonzero(np.diff(np.concatenate([[0], g.astype(np.int8), [0]]))).reshape(-1, 2)
+        n_removed.append(int(g.sum()))
+        spans.append([{"start": int(s), "length": int(e - s)} for s, e in edge])
+        kept.append(b" ".join([w for w, x in zip(t.split(b" "), g.tolist()) if not x]))
+    return pa.table([doc_id, n_words, pa.array(n_removed, pa.int64()),
+                     pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))),
+                     pa.array(kept, pa.binary()).cast(pa.string(), safe=False)],
+                    names=["doc_id", "n_words", "n_removed", "spans", "kept"])
+
+
+def removed(docs: DataFrame, replies: DataFrame, window: int, schema: str) -> DataFrame:
+    """The documents without the windows that a smaller document has."""
+
+    def run(left, right):
+        import numpy as np
 
-    if any(place < 0 for place, _ in marks):
-        return np.ones(n, bool)
-    place, reach = (np.array(v, np.int64) for v in zip(*marks))
-    step = np.zeros(n + 1, np.int64)
-    for r in range(window - (window + 1) // 2 + 1):
-        start = place[(reach >> r) & 1 == 1] - r
-        np.add.at(step, start, 1)
-        np.add.at(step, start + window, -1)
-    return np.cumsum(step[:-1]) > 0
+        ids, texts = left.column("id").to_numpy(), left.column("text").to_pylist()
+        whole = {r for r in right.column("rid").to_pylist() if r is not None}
+        key, low = _replies(right, "<u8")
+        gone = [None] * len(texts)
+        if len(key):
+            first, h = hash_words(texts)
+            met = _look_up(key, low, rolling(h, window))
+            owner = np.repeat(np.arange(len(texts)), np.diff(first))
+            start = np.flatnonzero((met < ids[owner[:len(met)]]) & (owner[:len(met)] == owner[window - 1:]))
+            step = np.zeros(len(h) + 1, np.int64)
+            np.add.at(step, start, 1)
+            np.add.at(step, start + window, -1)
+            marks = np.cumsum(step[:-1]) > 0
+            gone = [marks[a:b] for a, b in zip(first, first[1:])]
+        for k, (r, n) in enumerate(zip(left.column("rid").to_pylist(), left.column("n_words").to_pylist())):
+            if r in whole:
+                gone[k] = np.ones(n, bool)
+        return _kept(left.column("doc_id"), left.column("n_words"), texts, gone)
+
+    return docs.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(run, schema)
 
 
 def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
@@ -409,55 +440,36 @@ def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
 
     Returns ``doc_id``, ``n_words``, ``n_removed``, ``spans`` (start and length,
     in words, of each maximal run removed) and ``kept`` (the other words, joined
-    by one space).  Repeats are judged on the input, and of at most 125 words.
+    by one space).  Repeats are judged on the input.
 
     A null text has no words.  Documents with a null id, or one that is no whole
     number, neither remove nor lose words; equal ids do not remove each other's
     words; repeated rows give repeated rows.  An empty table gives an empty
     result; other columns are ignored, whatever their names.
     """
-    if not 1 <= window <= 125:
-        raise ValueError("window must be 1 to 125 words")
-    table = chunked(docs)
-    marks = repeats(table, window)
-    kind = table.schema["doc_id"].dataType.simpleString()
-    cols = ["doc_id", "n_words", "text", "marks"]
-
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        tidy()
-        for b in batches:
-            out = []
-            for n, t, m in zip(*(b.column(k).to_pylist() for k in (1, 2, 3))):
-                if not m:
-                    out.append((0, [], t))
-                    continue
-                gone = covered(n, [(x["place"], x["reach"]) for x in m], window)
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
-                kept = b" ".join([w for w, g in zip(t.split(b" "), gone.tolist()) if not g])
-                out.append((int(gone.sum()), [{"start": int(s), "length": int(e - s)}
-                                              for s, e in edge.reshape(-1, 2)], kept))
-            n_removed, spans, kept = zip(*out) if out else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(n_removed, pa.int64()),
-                 pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))),
-                 pa.array(kept, pa.binary()).cast(pa.string(), safe=False)],
-                names=["doc_id", "n_words", "n_removed", "spans", "kept"])
-        tidy()
-
-    schema = (f"doc_id {kind}, n_words long, n_removed long, "
+    if window < 1:
+        raise ValueError("a window has at least one word")
+    block, table = (window + 1) // 2, chunked(docs)
+    schema = (f"doc_id {table.schema['doc_id'].dataType.simpleString()}, n_words long, n_removed long, "
               "spans array<struct<start: long, length: long>>, kept string")
-    rows = table.join(marks, "rid", "left").select(
-        "doc_id", "n_words", F.col("text").cast("binary").alias("text"), "marks")
-    return rows.select(*cols).mapInArrow(run, schema)
+    long = (F.col("n_words") >= window) & F.col("id").isNotNull()
+    rows = table.where(long).withColumn("text", F.col("text").cast("binary"))
+    size = rows.agg(F.sum("n_words")).first()[0] or 0
+    buckets = max(1, -(-size // BUCKET_WORDS))
+    gone = materialize(copies(rows), "anchors-copies")
+    add = lambda told: told.unionByName(gone, allowMissingColumns=True)
+    hits = add(answers(messages(rows, block, buckets)))
+    more = add(agreed(extensions(rows, hits, window, buckets)))
+    rest = table.where(~long).select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"),
+                                     F.expr("cast(array() AS array<struct<start: long, length: long>>)").alias("spans"),
+                                     F.col("text").alias("kept"))
+    return removed(rows, more, window, schema).unionByName(rest)
 
 
 def digests(docs: DataFrame, window: int = 50) -> DataFrame:
     """``remove_repeats`` with the SHA-256 of the kept words."""
-    kept: Column = F.sha2(F.col("kept").cast("binary"), 256)
-    return remove_repeats(docs, window).select("doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
+    return remove_repeats(docs, window).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
 def duck_sql(window: int = 50) -> str:

@@ -70,14 +70,14 @@ def planted(seed, n=60, window=8):
 
 @pytest.mark.parametrize("window, seed, small", [(8, 1, False), (8, 2, True), (7, 3, True), (1, 4, True), (50, 5, False)])
 def test_against_brute_force(spark, monkeypatch, window, seed, small):
-    if small:  # many chunks, buckets and groups; most blocks are extended in Spark
-        for name, v in (("CHUNK_BYTES", 300), ("BUCKET_WORDS", 200), ("GROUP_HITS", 20), ("HOT_HITS", 6)):
+    if small:  # many chunks and buckets
+        for name, v in (("CHUNK_BYTES", 300), ("BUCKET_WORDS", 200)):
             monkeypatch.setattr(A, name, v)
     rows = planted(seed, window=window)
     assert got(A.remove_repeats(spark.createDataFrame(rows, SCHEMA), window)) == brute(rows, window)
 
 
-def test_hot_and_grouped_extension_agree(spark, monkeypatch):
+def test_passage_of_every_document(spark, monkeypatch):
     """One passage in every document at every alignment, with other words around it."""
     rng = random.Random(9)
     passage = [f"p{k}" for k in range(70)]
@@ -89,7 +89,7 @@ def test_hot_and_grouped_extension_agree(spark, monkeypatch):
     assert sum(r[2] for r in want) > 100 * 58
     df = spark.createDataFrame(rows, SCHEMA)
     assert got(A.remove_repeats(df)) == want
-    monkeypatch.setattr(A, "HOT_HITS", 10)
+    monkeypatch.setattr(A, "CHUNK_BYTES", 2000)
     assert got(A.remove_repeats(df)) == want
 
 
