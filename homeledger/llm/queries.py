@@ -98,16 +98,24 @@ def op12_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(_table(spark, sf_dir, "documents"), window=50)
 
 
+def op13_cover_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from homeledger.llm.cover_lloyd import digests
+
+    return digests(_table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6)
+
+
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (
         op1_separator_scan, op2_packing, op3_ppm_language, op4_importance, op5_quality_rules,
         op6_pigeonhole_join, op7_string_kernel, op8_cross_entropy, op9_piece_viterbi, op10_simhash,
-        op11_fill_middle, op12_block_anchors)}
+        op11_fill_middle, op12_block_anchors,
+        op13_cover_lloyd)}
 
 
 def oracle_sql() -> dict[str, str]:
-    from homeledger.llm import block_anchors, cross_entropy, fill_middle, pigeonhole, quality_rules
+    from homeledger.llm import block_anchors, cover_lloyd, cross_entropy, fill_middle, pigeonhole, quality_rules
 
     return {"op5_quality_rules": quality_rules.duck_sql(), "op6_pigeonhole_join": pigeonhole.duck_sql(),
             "op8_cross_entropy": cross_entropy.duck_sql(), "op11_fill_middle": fill_middle.duck_sql(),
-            "op12_block_anchors": block_anchors.duck_sql()}
+            "op12_block_anchors": block_anchors.duck_sql(),
+            "op13_cover_lloyd": cover_lloyd.duck_sql()}
