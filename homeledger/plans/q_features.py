@@ -13,7 +13,8 @@ from homeledger.operators import quality as Q
 from homeledger.operators import rules as R
 from homeledger.plans.registry import register
 from homeledger.plans.sqlbits import KEYS_SQL, feature_ctes, mode_sql, with_cleaned, with_listings
-from homeledger.schema import LISTING_COLUMNS, LISTING_KEYS, NON_FEATURE_COLUMNS, ONE_HOT_COLUMNS
+from homeledger.schema import LISTING_COLUMNS, LISTING_KEYS, MEDIAN_IMPUTE_PLAN, NON_FEATURE_COLUMNS, ONE_HOT_COLUMNS
+from homeledger.session import materialize, scratch_path
 from homeledger.sources.fixture import listings
 
 # Rules from the review workflow's documented examples, plus a text rule and a != rule.
@@ -163,6 +164,68 @@ def q_feature_pipeline(spark, sf):
                       reduce(lambda a, b: a + b, [F.col(f"`{d}`") for d in dums]).alias("dummies_set"))
 
 
+def _sparse_sql():
+    parts, below = [], "0"
+    for c in ONE_HOT_COLUMNS:
+        parts.append(f"SELECT {KEYS_SQL}, '{c}' AS grp, CAST({below} + r - 2 AS INTEGER) AS slot FROM fe JOIN "
+                     f"(SELECT v, dense_rank() OVER (ORDER BY v) AS r FROM (SELECT DISTINCT CAST({c} AS VARCHAR) AS v "
+                     f"FROM fe WHERE {c} IS NOT NULL)) ON CAST({c} AS VARCHAR) = v WHERE r > 1")
+        below += f" + (SELECT greatest(count(DISTINCT {c}) - 1, 0) FROM fe)"
+    return with_cleaned(feature_ctes()) + "\nUNION ALL\n".join(parts)
+
+
+@register("sparse_encode", _sparse_sql)
+def q_sparse_encode(spark, sf):
+    """The set slots of the sparse vectors, by column, as rows."""
+    from pyspark.ml.functions import vector_to_array
+
+    rows = materialize(_pre_encoded(spark, sf), "pre-encoded")
+    numeric = ["year_built", "sqft"]
+    enc, layout = FE.sparse_encode(rows, FE.category_index(rows), numeric)
+    ends, at = [], 0
+    for c, n in layout[len(numeric):]:
+        at += n
+        ends.append((c, at))
+    slot = F.col("slot")
+    grp = reduce(lambda rest, e: F.when(slot < e[1], F.lit(e[0])).otherwise(rest), reversed(ends), F.lit(None))
+    return (enc.select(*LISTING_KEYS, F.posexplode(F.slice(vector_to_array("features"), len(numeric) + 1, at)).alias("slot", "x"))
+            .where("x = 1").select(*LISTING_KEYS, grp.alias("grp"), "slot"))
+
+
+def _new_rows_sql():
+    """Statistics of the cleaned rows (feature_ctes) applied to every raw listing."""
+    ctes = [feature_ctes(),
+            f"na AS (SELECT {KEYS_SQL}, style, sold_price, year_built, sqft, beds, full_baths, half_baths, new_construction, "
+            f"city, lot_sqft, stories, parking_garage, hoa_fee, county, state, zip_code, month(TRY_CAST(list_date AS DATE)) "
+            f"AS m_ FROM listings WHERE style IS NOT NULL AND city IS NOT NULL)",
+            f"nb AS (SELECT *, {season_sql('m_')} AS s_ FROM na)",
+            "n0 AS (SELECT nb.* EXCLUDE (m_, s_) REPLACE (CAST(COALESCE(half_baths, 0) AS INTEGER) AS half_baths, "
+            "CAST(COALESCE(parking_garage, 0) AS INTEGER) AS parking_garage, COALESCE(hoa_fee, 0.0) AS hoa_fee), "
+            "CAST(COALESCE(m_, mm, 6) AS INTEGER) AS sale_month, COALESCE(s_, ms, 'Summer') AS sale_season, "
+            "CAST(hoa_fee IS NOT NULL AS INTEGER) AS has_hoa, CAST(parking_garage IS NOT NULL AS INTEGER) AS has_garage "
+            "FROM nb, fmode)"]
+    for i, (col, keys) in enumerate(MEDIAN_IMPUTE_PLAN, start=1):
+        on = " AND ".join(f"n{i - 1}.{k} = g{i}.{k}" for k in keys)
+        ctes.append(f"n{i} AS (SELECT n{i - 1}.* REPLACE (COALESCE(CAST(n{i - 1}.{col} AS DOUBLE), g{i}.gm, "
+                    f"(SELECT median({col}) FROM h{i})) AS {col}) FROM n{i - 1} LEFT JOIN g{i} ON {on})")
+    dummies = " + ".join(f"CASE WHEN CAST({c} AS VARCHAR) IN (SELECT CAST({c} AS VARCHAR) FROM fe WHERE {c} IS NOT NULL) AND "
+                         f"CAST({c} AS VARCHAR) <> (SELECT min(CAST({c} AS VARCHAR)) FROM fe) THEN 1 ELSE 0 END"
+                         for c in ONE_HOT_COLUMNS)
+    base = ", ".join("CAST(new_construction AS INTEGER) AS new_construction" if c == "new_construction" else c for c in _ENG_BASE)
+    return with_cleaned(*ctes) + f"SELECT {KEYS_SQL}, {base}, {dummies} AS dummies_set FROM n{len(MEDIAN_IMPUTE_PLAN)}"
+
+
+@register("encode_new_rows", _new_rows_sql)
+def q_encode_new_rows(spark, sf):
+    """Fit on the cleaned listings, save, load, and encode every raw listing."""
+    path = scratch_path(spark, "features-model")
+    FE.ListingFeatures().fit(materialize(C.clean_data(listings(spark, sf)), "training")).save(path)
+    model = FE.ListingFeaturesModel.load(path)
+    eng = model.transform(listings(spark, sf))
+    return eng.select(*LISTING_KEYS, *_ENG_BASE, reduce(
+        lambda a, b: a + b, [F.col(f"`{d}`") for d in FE.dummy_columns(model.categories)]).alias("dummies_set"))
+
+
 @register("category_dictionary", lambda: with_cleaned(feature_ctes()) + "\nUNION ALL\n".join(
     f"SELECT '{c}' AS grp, v AS value, v = min(v) OVER () AS is_baseline, "
     f"CAST(dense_rank() OVER (ORDER BY v) AS INTEGER) AS position "
@@ -182,8 +245,9 @@ def q_skew_report(spark, sf):
 def _delta_sql():
     n_dummy = " + ".join(f"(SELECT count(DISTINCT {c}) - 1 FROM fe)" for c in ONE_HOT_COLUMNS)
     n_eng = f"(4 + {len(_ENG_BASE)} + {n_dummy})"
+    nulls = " + ".join(f"count(*) - count({c})" for c in [*LISTING_KEYS, *_ENG_BASE])  # dummies are 0 or 1
     return with_cleaned(feature_ctes()) + (
-        f"SELECT CAST(0 AS BIGINT) AS null_count_total, "
+        f"SELECT CAST((SELECT {nulls} FROM fe) AS BIGINT) AS null_count_total, "
         f"(SELECT count(*) FROM fe) - (SELECT count(*) FROM cleaned) AS row_count_delta, "
         f"CAST({n_eng} - {len(LISTING_COLUMNS)} AS INTEGER) AS feature_count_delta, "
         f"CAST({n_eng} AS INTEGER) AS engineered_columns")
