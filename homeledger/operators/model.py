@@ -12,13 +12,14 @@ from __future__ import annotations
 
 import random
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from homeledger.session import materialize
 
@@ -83,20 +84,25 @@ def with_folds(df: DataFrame, k: int, seed: int, key: list[str]) -> DataFrame:
 
 def oof_predictions(df: DataFrame, features: list[str], model_type: str = "rf", params: dict | None = None,
                     k: int = 3, seed: int = 42, key: list[str] | None = None,
-                    keep: list[str] | None = None) -> DataFrame:
-    """#66: each row scored by a model fitted without its fold (k fits, union)."""
+                    keep: list[str] | None = None, parallel: int = 5) -> DataFrame:
+    """#66: each row scored by a model fitted without its fold.
+
+    The rows are assembled once and written; the k fits read them, ``parallel``
+    at a time, so one fit's small stages fill another's gaps.
+    """
     keep = keep or []
     folded = with_folds(df, k, seed, key or keep)
-    parts = []
-    for f in range(k):
-        m = train(folded.where(F.col("fold") != f), features, model_type, params, seed)
-        held = m.transform(folded.where(F.col("fold") == f))
-        parts.append(held.select(*keep, "fold", F.col(TARGET).alias("actual"),
-                                 F.col("prediction").alias("predicted")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    rows = materialize(_assembler(features).transform(folded).select(*keep, "fold", TARGET, "features"), "fold-rows")
+
+    def fit(f: int):
+        return estimator(model_type, params, seed).fit(rows.where(F.col("fold") != f))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        models = list(pool.map(inheritable_thread_target(df.sparkSession)(fit), range(k)))
+    parts = [m.transform(rows.where(F.col("fold") == f)).select(
+        *keep, "fold", F.col(TARGET).alias("actual"), F.col("prediction").alias("predicted"))
+        for f, m in enumerate(models)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def regression_metrics(pred: DataFrame, n_features: int, by: list[str] | None = None,
@@ -154,43 +160,6 @@ def sample_params(space: dict, rng: random.Random) -> dict:
     return out
 
 
-@dataclass
-class SearchConfig:
-    trials: int = 4
-    folds: int = 3
-    seed: int = 42
-    parallel: int = 2
-    space: dict | None = None  # ranges to search instead of the model type's own
-
-
-def random_search(df: DataFrame, features: list[str], model_type: str, key: list[str],
-                  cfg: SearchConfig = SearchConfig()) -> DataFrame:
-    """#58: seeded random candidates x k folds; each trial's fits are Spark jobs,
-    trials run in a small driver thread pool.  Returns the trial table."""
-    rng = random.Random(cfg.seed)
-    space = cfg.space or (RF_SPACE if model_type == "rf" else GBT_SPACE)
-    cands = [sample_params(space, rng) for _ in range(cfg.trials)]
-    folded = materialize(with_folds(df, cfg.folds, cfg.seed, key), "search-folds")
-
-    def run(i_params):
-        i, params = i_params
-        preds = oof_predictions(folded.drop("fold"), features, model_type, params, cfg.folds, cfg.seed,
-                                key, keep=key)
-        row = cv_scores(preds, len(features)).collect()[0].asDict()
-        row.update({"trial_number": i, "model_type": model_type, "params": str(params)})
-        return row
-
-    with ThreadPoolExecutor(max_workers=max(1, cfg.parallel)) as pool:
-        rows = list(pool.map(run, enumerate(cands)))
-    spark = df.sparkSession
-    cols = ["trial_number", "model_type", "params", "cv_adj_r2_mean", "cv_adj_r2_std", "cv_r2_mean",
-            "cv_rmse_mean", "cv_rmse_std", "cv_mae_mean"]
-    return spark.createDataFrame([tuple(r[c] for c in cols) for r in rows],
-                                 "trial_number int, model_type string, params string, cv_adj_r2_mean double, "
-                                 "cv_adj_r2_std double, cv_r2_mean double, cv_rmse_mean double, "
-                                 "cv_rmse_std double, cv_mae_mean double")
-
-
 def feature_importance(model: PipelineModel, features: list[str], top: int = 15) -> DataFrame:
     """#68: top-N importances, descending (ties by name)."""
     imp = model.stages[-1].featureImportances.toArray().tolist()

@@ -8,6 +8,7 @@ from homeledger.operators import clean as C
 from homeledger.operators import evaluate as EV
 from homeledger.operators import features as FE
 from homeledger.operators import model as M
+from homeledger.operators import search as SR
 from homeledger.plans import standins as S
 from homeledger.plans.registry import register
 from homeledger.plans.sqlbits import KEYS_SQL, feature_ctes, with_cleaned, with_listings
@@ -18,11 +19,8 @@ from homeledger.sources.fixture import listings
 P = 10  # feature count used by the adjusted-R² formulas on stored predictions
 # the attribution report explains a forest of this size; every other fit uses the operators' defaults
 EXPLAINED = {"numTrees": 10, "maxDepth": 5}
-# ranges the registered search draws from (a search option; the full ranges are in operators/model.py)
-SEARCH = {"rf": {"numTrees": (8, 16, 4), "maxDepth": (3, 6, 1), "minInstancesPerNode": (1, 15, 1),
-                 "featureSubsetStrategy": ["sqrt", "log2", "0.3", "0.5", "0.7", "all"]},
-          "gbt": {"maxIter": (6, 12, 2), "stepSize": (0.05, 0.3, "log"), "maxDepth": (3, 5, 1),
-                  "featureSubsetStrategy": ["0.5", "0.7", "all"]}}
+# the registered search: the whole ranges, 10 candidates a type, 5 folds; compared at up to this many trees
+SEARCH = SR.SearchPlan(candidates=10, folds=5, seed=42, eta=3, first_trees=1, most_trees=9, parallel=6)
 TOP_GROUPS = 5
 NUMERIC = ["year_built", "sqft", "beds", "full_baths", "half_baths", "lot_sqft", "stories",
            "parking_garage", "hoa_fee", "sale_month"]
@@ -269,12 +267,34 @@ def q_oof_predict(spark, sf):
     return M.oof_predictions(eng, feats, "rf", k=5, seed=42, key=LISTING_KEYS, keep=LISTING_KEYS)
 
 
+_SEARCHED: dict[tuple[str, str], str] = {}
+
+
+def searched(spark, sf) -> str:
+    """Folder of the engineered rows and the trial table, searched once per application and table."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _SEARCHED:
+        eng, feats = _training(spark, sf)
+        path = scratch_path(spark, "searched")
+        eng.write.parquet(f"{path}/rows")
+        SR.search(eng, feats, LISTING_KEYS, SEARCH, folder=path).write.parquet(f"{path}/trials")
+        _SEARCHED[key] = path
+    return _SEARCHED[key]
+
+
 @register("random_search")
 def q_random_search(spark, sf):
-    eng, feats = _training(spark, sf)
-    trials = [M.random_search(eng, feats, t, LISTING_KEYS, M.SearchConfig(trials=2, folds=3, seed=42, parallel=2, space=s))
-              for t, s in SEARCH.items()]
-    return trials[0].unionByName(trials[1])
+    return spark.read.parquet(f"{searched(spark, sf)}/trials")
+
+
+@register("train_best_trial")
+def q_train_best_trial(spark, sf):
+    """The search's winner, fitted on the whole table."""
+    path = searched(spark, sf)
+    eng = spark.read.parquet(f"{path}/rows")
+    m = SR.train_best(eng, FE.feature_columns(eng), spark.read.parquet(f"{path}/trials"))
+    return m.transform(eng).select(*LISTING_KEYS, F.col("sold_price").alias("actual"),
+                                   F.col("prediction").alias("predicted"))
 
 
 @register("feature_importance")

@@ -78,10 +78,14 @@ def test_large_numbers_in_messages(spark):
         "19000000.0", "12345678.25", "1500.5", "0.0", "-20000000.0", "3.0"]
 
 
-def test_search_records_what_ran(spark):
+def test_search_records_what_ran(spark, target):
     p = _run(spark, "random_search").toPandas()
-    assert set(p.model_type) == {"rf", "gbt"} and len(p) == 4
-    assert p.params.nunique() == 4 and p.cv_rmse_mean.notna().all()
+    assert sorted(p.model_type) == ["gbt"] * 10 + ["rf"] * 10 and (p.folds == 5).all()
+    assert p.params.nunique() == 20 and p.cv_rmse_mean.notna().all()
+    for _, own in p.groupby("model_type"):
+        assert (own.status == "best").sum() == 1 and (own.groupby("rung").size() >= 1).all() and own.trees.max() == 9
+    best = _run(spark, "train_best_trial").toPandas()
+    assert len(best) == target[0] and best.predicted.notna().all()
 
 
 def test_importances_sum_to_one_and_rank(spark):
