@@ -392,13 +392,16 @@ def _sums(batches):
                                           pa.array([int(n[t > 0].sum()) for n, t in both], pa.int64())], names=["n", "t"])
 
 
-def duck_sql(size: int = VOCABULARY) -> str:
-    """DuckDB twin over the views ``documents`` and ``labels``."""
+def duck_sql() -> str:
+    """DuckDB twin over the views ``documents`` and ``labels``: every word of the corpus has its own id, -1 starts
+    a text, and one id beside the words stands for unseen ones."""
+    size = "(SELECT count(*) + 1 FROM vocab)"
+
     def model(name: str, rows: str) -> str:
         return f"""
 {name}_pair AS (SELECT u, w, count(*) AS c FROM {rows} GROUP BY u, w),
-{name}_uni AS (SELECT v.w, (coalesce(sum(c), 0) + 1) / ((SELECT count(*) FROM {rows}) + {size}.0) AS p
-               FROM range({size}) v(w) LEFT JOIN {name}_pair USING (w) GROUP BY v.w),
+{name}_uni AS (SELECT v.w, (coalesce(sum(c), 0) + 1) / ((SELECT count(*) FROM {rows}) + {size} * 1.0) AS p
+               FROM (SELECT id AS w FROM vocab) v LEFT JOIN {name}_pair USING (w) GROUP BY v.w),
 {name}_seen AS (SELECT u, sum(c) AS n, count(*) AS kinds FROM {name}_pair GROUP BY u)"""
 
     def loss(name: str) -> str:
@@ -410,10 +413,9 @@ def duck_sql(size: int = VOCABULARY) -> str:
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
                   regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS ws FROM documents),
 x AS (SELECT rid, doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM d),
-vocab AS (SELECT word, row_number() OVER (ORDER BY count(*) DESC, word) AS id FROM x GROUP BY word
-          ORDER BY count(*) DESC, word LIMIT {size - 1}),
-ids AS (SELECT rid, doc_id, i, coalesce(id, 0) AS w FROM x LEFT JOIN vocab USING (word)),
-s AS (SELECT rid, doc_id, coalesce(lag(w) OVER (PARTITION BY rid ORDER BY i), {size}) AS u, w FROM ids),
+vocab AS MATERIALIZED (SELECT word, row_number() OVER (ORDER BY word) AS id FROM x GROUP BY word),
+ids AS (SELECT rid, doc_id, i, id AS w FROM x JOIN vocab USING (word)),
+s AS MATERIALIZED (SELECT rid, doc_id, coalesce(lag(w) OVER (PARTITION BY rid ORDER BY i), -1) AS u, w FROM ids),
 good AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1),
 st AS (SELECT s.* FROM s JOIN good USING (doc_id)),{model("t", "st")},{model("b", "s")},
 m AS (SELECT s.rid, avg({loss("t")}) AS target_loss, avg({loss("b")}) AS background_loss, count(*) AS n

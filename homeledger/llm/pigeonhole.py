@@ -77,7 +77,8 @@ def near_duplicates(embeddings: DataFrame, cosine: float = 0.98) -> DataFrame:
 
     Vectors link when their labels are equal and not null and their cosine, in
     double precision, is at least ``cosine``.  Null, empty and zero vectors and
-    those with a null or non-finite component link with nothing, and neither do
+    those with a null or non-finite component link with nothing (very small and very large
+    ones link like any other), and neither do
     vectors of different lengths.  ``n_links`` counts other rows linked
     directly, ``component_id`` is the smallest ``vec_id`` reachable, ``kept``
     tells whether it is the row's own (true for a null id alone in its
@@ -86,9 +87,13 @@ def near_duplicates(embeddings: DataFrame, cosine: float = 0.98) -> DataFrame:
     """
     e = F.col("embedding").cast("array<double>")
     rows = embeddings.select("vec_id", e.alias("embedding"), "label").withColumn("rid", F.monotonically_increasing_id())
-    rows = rows.withColumn("norm", F.expr("sqrt(aggregate(embedding, 0D, (s, x) -> s + x * x))"))
-    sound = F.expr("label IS NOT NULL AND norm IS NOT NULL AND norm > 0 AND NOT isnan(norm) AND norm < double('inf')")
-    rows = materialize(rows.withColumn("sound", F.coalesce(sound, F.lit(False))), "vectors")
+    # a vector is divided by the power of two below its largest component: exact, and no square under- or overflows
+    rows = rows.withColumn("top", F.expr("aggregate(embedding, 0D, (m, x) -> if(x IS NULL OR isnan(x), NULL, greatest(m, abs(x))))"))
+    rows = rows.withColumn("sound", F.expr("label IS NOT NULL AND top > 0 AND top < double('inf')"
+                                           " AND forall(embedding, x -> x IS NOT NULL AND NOT isnan(x))"))
+    rows = rows.withColumn("sound", F.coalesce("sound", F.lit(False)))
+    rows = rows.withColumn("embedding", F.expr("if(sound, transform(embedding, x -> x / pow(2D, floor(log2(top)))), embedding)")).drop("top")
+    rows = materialize(rows.withColumn("norm", F.expr("sqrt(aggregate(embedding, 0D, (s, x) -> s + x * x))")), "vectors")
     reps = materialize(rows.where("sound").groupBy("label", "embedding").agg(
         F.min("rid").alias("rep"), F.count("*").alias("copies"), F.min("vec_id").alias("first_id"),
         F.first("norm").alias("norm")), "vector-reps")
@@ -151,8 +156,10 @@ def duck_sql(cosine: float = 0.98) -> str:
     """DuckDB twin over the view ``embeddings``: every pair of one label, then reachability."""
     return f"""
 WITH RECURSIVE e AS (SELECT row_number() OVER () AS rid, vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
-n AS (SELECT *, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS norm FROM e
-      WHERE label IS NOT NULL AND v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+f AS (SELECT rid, vec_id, label, list_transform(v, lambda x: x / pow(2, floor(log2(list_max(list_transform(v, lambda y: abs(y))))))) AS v FROM e
+      WHERE label IS NOT NULL AND v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(v, lambda x: x <> 0)) > 0),
+n AS (SELECT *, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS norm FROM f),
 s AS (SELECT * FROM n WHERE norm > 0),
 link AS (SELECT a.rid AS a, b.rid AS b, b.vec_id AS id FROM s a JOIN s b ON a.label = b.label AND a.rid <> b.rid
          AND len(a.v) = len(b.v) WHERE list_dot_product(a.v, b.v) / (a.norm * b.norm) >= {cosine}),

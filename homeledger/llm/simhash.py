@@ -24,6 +24,8 @@ from homeledger.session import materialize
 
 BITS = 64
 SEED = 42
+#: Variants that one task makes, about.
+VARIANTS = 1 << 21
 
 
 def text_fingerprint(text: str | None, shingle: int) -> int:
@@ -96,9 +98,11 @@ def links(fps: DataFrame, distance: int = 2, hot: int = 1024) -> DataFrame:
     """(u, v) with u < v: all pairs of distinct values of ``fp`` at ``distance`` bits or fewer, once each."""
     pieces = distance // 2 + 1
     levels = 3 if pieces == 2 else 1
-    # a fingerprint becomes 64 rows: spread them before, as the small table itself fits few partitions
-    spread = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    base = fps.select("fp").distinct().repartition(spread, "fp").withColumn("lo", F.lit(0)).withColumn("key", F.lit(0).cast("long"))
+    base = fps.select("fp").distinct().withColumn("lo", F.lit(0)).withColumn("key", F.lit(0).cast("long"))
+    # a fingerprint becomes one row per bit: deal them round robin into enough tasks for that many rows, as a
+    # repartitioning by key would be folded into the distinct's own exchange and its small parts joined again
+    spread = max(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-fps.count() * BITS // VARIANTS))
+    base = base.repartition(spread)
     carry, conds, out = ["fp", "lo", "key"], [], []
     for level in range(levels):
         lo, tag = f"lo{level}", f"t{level}"

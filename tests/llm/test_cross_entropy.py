@@ -81,7 +81,7 @@ def test_all_words_are_told_apart(spark, monkeypatch):
     con = duckdb.connect()
     con.register("documents", docs)
     con.register("labels", labels)
-    twin = {r[0]: r[1:] for r in con.execute(X.duck_sql(len(words) + 1)).fetchall()}
+    twin = {r[0]: r[1:] for r in con.execute(X.duck_sql()).fetchall()}
     got = X.cross_entropy_difference(spark.createDataFrame(docs), spark.createDataFrame(labels)).collect()
     assert len(got) == len(docs)
     for r in got:
@@ -98,3 +98,13 @@ def test_rare_words_change_the_score(spark):
     labels = spark.createDataFrame([(12, 1)], "doc_id long, quality int")
     score = {r["doc_id"]: r["score"] for r in X.cross_entropy_difference(docs, labels).collect()}
     assert score[10] == score[12] < score[11] - 0.5
+
+
+def test_registered_sql_agrees_on_the_whole_table(spark):
+    import __spark_entry__ as E
+    from homeledger.plans.oracle_check import compare, duck_connection
+    from tests.llm.helpers import SF
+
+    why = compare(E.queries()["op8_cross_entropy"](spark, SF).toPandas(),
+                  duck_connection(SF).execute(E.oracle_sql()["op8_cross_entropy"]).df())
+    assert why is None, why
