@@ -28,8 +28,8 @@ def piece_model() -> str:
 def op1_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from homeledger.llm.separator_scan import token_counts
 
-    # 49407 ends a document; ordinary text never gives it
-    return token_counts(_table(spark, sf_dir, "documents"), word_tokenizer(), end_id=49407)
+    # the vocabulary ends at 49407, so no text gives this id
+    return token_counts(_table(spark, sf_dir, "documents"), word_tokenizer(), end_id=49408)
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -63,8 +63,8 @@ class WordIds(Generations):
     Ids take 2 bytes when the vocabulary has at most 65,536 of them, else 4.
     Cutting a text at ASCII white space never changes its ids: every
     normalisation and pre-token pattern of the tokenizer stops there.  Words of
-    printable ASCII and plain Latin letters go to the BPE model at once; others
-    take the tokenizer's whole path.
+    printable ASCII and plain Latin letters go to the BPE model at once; others,
+    and words that hold one of the tokenizer's special tokens, take its whole path.
     """
 
     def __init__(self, path: str):
@@ -72,7 +72,7 @@ class WordIds(Generations):
 
         super().__init__(CACHE_WORDS)
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.specials = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.code = "H" if self.tok.get_vocab_size() <= 65_536 else "I"
         self.parts = PartIds(self.tok.model.tokenize, self.code)
         self.size = array(self.code).itemsize
@@ -82,7 +82,7 @@ class WordIds(Generations):
         if word.isalpha():  # ASCII letters only
             return self.parts[word.lower().decode()]
         text = word.decode()
-        if _PLAIN(text):
+        if _PLAIN(text) and not any(t in text for t in self.specials):
             return b"".join(map(self.parts.__getitem__, _PARTS(text.lower())))
         return array(self.code, self.tok.encode(text, add_special_tokens=False).ids).tobytes()
 

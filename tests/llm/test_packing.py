@@ -14,7 +14,6 @@ from tests.llm.helpers import SF, awkward, check_edges
 def reference_ids(texts):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(word_tokenizer())
-    tok.encode_special_tokens = True
     return [tok.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
 
 
@@ -99,10 +98,19 @@ def test_word_ids_follow_the_tokenizer():
     from homeledger.llm.tokens import WordIds
     w = WordIds(word_tokenizer())
     words = [a + chr(c) + b for c in range(33, 0x180) for a in ("", "x", "É", "'") for b in ("", "s", "3", "'ll")]
-    for text in [*words, "a b\x1cc", "İ ΑΣ ﬁ 한국어", "x́ <|endoftext|> don't I'LL"]:
+    for text in [*words, "a b\x1cc", "İ ΑΣ ﬁ 한국어", "x́ <|endoftext|> don't I'LL", "<|startoftext|>a<|endoftext|>b<|endoftext|", "<|ENDOFTEXT|> <| |>"]:
         assert np.frombuffer(w.text_ids(text), w.dtype).tolist() == w.tok.encode(text, add_special_tokens=False).ids
 
 
+def test_special_tokens_in_texts(spark):
+    """Texts that hold the tokenizer's special tokens give its own ids for them."""
+    texts = ["hello <|endoftext|> world", "<|startoftext|>", "a<|endoftext|><|startoftext|>B", "no <|end oftext|>"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = reference_ids(texts)
+    assert 49407 in want[0]
+    check_pieces(packing.pack(docs, word_tokenizer()).collect(), dict(enumerate(want)))
+
+
 def test_rows_without_text_spread_over_groups(spark):
     """Every row gives an end id, so rows count towards the number of groups."""
     docs = spark.range(4000).selectExpr("id AS doc_id", "if(id % 2 = 0, '', null) AS text")

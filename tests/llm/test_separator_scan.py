@@ -15,13 +15,20 @@ def test_whole_table(spark):
 
 
 def test_edges_and_tiny_blocks(spark):
-    run = lambda d: S.token_counts(d, word_tokenizer(), 49407, file_tokens=777, block_tokens=50)
+    run = lambda d: S.token_counts(d, word_tokenizer(), 49408, file_tokens=777, block_tokens=50)
     got = check_edges(spark, lambda d: run(d).drop("start"), ["doc_id", "n_tokens"])
     docs = awkward(spark).collect()
     want = sorted((str(d["doc_id"]), len(i) - 1) for d, i in zip(docs, reference_ids([d["text"] for d in docs])))
     assert sorted((str(r["doc_id"]), r["n_tokens"]) for r in got.collect()) == want
 
 
+def test_special_tokens_end_no_document(spark):
+    texts = ["a <|endoftext|> b", "<|endoftext|><|startoftext|>", "c"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["n_tokens"] for r in S.token_counts(docs, word_tokenizer(), 49408).collect()}
+    assert got == {k: len(i) - 1 for k, i in enumerate(reference_ids(texts))}
+
+
 def test_stitch_against_brute_force(spark):
     """Blocks without an end, several groups of files, and an unfinished last document."""
     rng = np.random.default_rng(3)
