@@ -189,22 +189,36 @@ def session_best(trials: DataFrame, types: list[str] = ("rf", "gbt"), score: str
                             F.struct("best_score", rank[F.col("model_type")])).alias("w")).select("w.*")
 
 
+def _earlier_max(maxima: DataFrame, top: int, width: int) -> DataFrame:
+    """(b, earlier): for each bucket ``b`` of (b, m) the largest ``m`` of all smaller buckets.
+
+    Buckets are grouped by ``width``; where more than one group is left, the
+    groups' own maxima take the same step, so no window holds more than
+    ``width`` rows.
+    """
+    before = Window.partitionBy("u").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    inside = maxima.withColumn("u", F.floor(F.col("b") / F.lit(width))).withColumn("i", F.max("m").over(before))
+    if top < width:
+        return inside.select("b", F.col("i").alias("earlier"))
+    outer = _earlier_max(inside.groupBy(F.col("u").alias("b")).agg(F.max("m").alias("m")), top // width, width)
+    return inside.join(outer.withColumnRenamed("b", "u"), "u").select("b", F.greatest("i", "earlier").alias("earlier"))
+
+
 def promote(versions: DataFrame, bucket_width: int = 100_000) -> DataFrame:
     """#61: per version — the incumbent's score (running max of earlier scores),
     promoted when round(score, 4) > incumbent strictly (no incumbent -> promoted).
 
-    Running max = max(previous buckets' max, max earlier in the same bucket):
-    bucket maxima are a small table (one row per ``bucket_width`` versions);
-    within-bucket windows are partitioned by bucket.
+    Running max = max(earlier buckets' max, max earlier in the same bucket), in
+    as many levels as the largest version number needs: every window is
+    partitioned and holds at most ``bucket_width`` rows.
     """
     v = versions.withColumn("score4", F.round("cv_adj_r2", 4)) \
                 .withColumn("__b", F.floor(F.col("version") / F.lit(bucket_width)))
-    bmax = v.groupBy("__b").agg(F.max("score4").alias("__bm"))
-    prior = bmax.select("__b", F.max("__bm").over(
-        Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)).alias("__pb"))
+    top = versions.agg(F.max(F.abs("version"))).first()[0] or 0
+    prior = _earlier_max(v.groupBy(F.col("__b").alias("b")).agg(F.max("score4").alias("m")), top // bucket_width, bucket_width)
     w = Window.partitionBy("__b").orderBy("version").rowsBetween(Window.unboundedPreceding, -1)
-    j = v.withColumn("__in", F.max("score4").over(w)).join(prior, "__b")
-    inc = F.greatest(F.col("__in"), F.col("__pb"))
+    j = v.withColumn("__in", F.max("score4").over(w)).join(prior.withColumnRenamed("b", "__b"), "__b")
+    inc = F.greatest(F.col("__in"), F.col("earlier"))
     return j.select("version", "model_type", "score4", inc.alias("incumbent_score"),
                     F.coalesce(F.col("score4").isNotNull() & (inc.isNull() | (F.col("score4") > inc)), F.lit(False))
                     .alias("promoted")).select(

@@ -64,9 +64,11 @@ def match_report(reports: DataFrame) -> DataFrame:
 
 
 def review_decisions(reviews: DataFrame) -> DataFrame:
-    """#42: the latest decision per quarantined snapshot; approve -> processed/approved_<file>,
+    """#42: the latest decision per quarantined snapshot (equal times: a rejection, then the later reviewer
+    and reason by name, so any order of the events gives the same); approve -> processed/approved_<file>,
     reject -> archive/rejected_<file>; default reason and reviewer filled in."""
-    w = Window.partitionBy("quarantined_snapshot").orderBy(F.desc("review_timestamp"))
+    w = Window.partitionBy("quarantined_snapshot").orderBy(
+        F.desc("review_timestamp"), "approve", F.desc("reviewer"), F.desc("reason"))
     last = reviews.withColumn("__r", F.row_number().over(w)).where("__r = 1")
     decision = F.when(F.col("approve"), "approved").otherwise("rejected")
     return last.select(

@@ -11,7 +11,7 @@ from homeledger.plans.q_clean import _cleaning_log_sql
 from homeledger.plans.q_review import STAMP, TS1, _label
 from homeledger.plans.registry import register
 from homeledger.plans.sqlbits import with_listings
-from homeledger.schema import LISTING_COLUMNS
+from homeledger.schema import LISTING_COLUMNS, OUTLIER_COLUMNS, VALID_STYLES
 from homeledger.session import scratch_path
 from homeledger.sources import io
 from homeledger.sources.fixture import listings
@@ -63,21 +63,37 @@ def q_read_reports(spark, sf):
     from homeledger.schema import VALIDATION_REPORT_SCHEMA
     path = scratch_path(spark, "reports")
     reports = RV.validation_reports(_label(listings(spark, sf)), TS1)
-    io.write_reports(reports, path)
+    for _ in range(2):  # a rerun adds nothing
+        io.write_reports(reports, path, "run-reports")
     spark.createDataFrame([("{not json",)], "value string").write.mode("append").text(path)
     return io.read_reports(spark, path, VALIDATION_REPORT_SCHEMA)
 
 
+CLEAN_PARAMS = {"iqr_multiplier": 1.5, "location": "Cincinnati, OH", "valid_styles": list(VALID_STYLES),
+                "outlier_columns": list(OUTLIER_COLUMNS), "output_file": "cleaned_ALL_OH_365d"}
+CLEAN_TAGS = {"pipeline_stage": "data_cleaning"}
+
+
 def _run_log(spark, sf):
     lst = listings(spark, sf)
-    clean = io.run_log_rows("clean", "run-clean", C.cleaning_log(lst),
-                            params={"iqr_multiplier": 1.5, "outlier_columns": 4.0})
+    log = C.cleaning_log(lst)
+    bounds = io.outlier_metrics(C.outlier_report(C.clean_steps(lst)["style_filtered"]), OUTLIER_COLUMNS)
+    clean = io.run_log_rows("clean", "run-clean", log.crossJoin(F.broadcast(bounds)), CLEAN_PARAMS, CLEAN_TAGS, TS1)
     summ = Q.summarize_suite(Q.evaluate_suite(C.clean_data(lst))).select(
         "evaluated", "passed", "failed", F.col("success").cast("int").alias("success"))
-    val = io.run_log_rows("validate", "run-validate", summ)
+    val = io.run_log_rows("validate", "run-validate", summ, ts=TS1)
     return clean.unionByName(val)
 
 
+def _stored_log(spark, sf):
+    """The run log written twice (a rerun adds nothing) and read back."""
+    path = scratch_path(spark, "run_log")
+    rows = _run_log(spark, sf)
+    for _ in range(2):
+        io.append_run_log(rows, path)
+    return io.read_run_log(spark, path)
+
+
 def _run_log_sql():
     metrics = ["raw_rows", "raw_columns", "empty_rows_dropped", "duplicates_dropped", "missing_target_dropped",
                "style_filter_dropped", "outliers_dropped", "cleaned_rows", "total_rows_removed", "removal_pct"]
@@ -85,36 +101,43 @@ def _run_log_sql():
     head, body = base.rsplit("\nSELECT", 1)
     from homeledger.plans.q_quality import suite_sql
     c2, b2 = suite_sql("cleaned")
+    head_cols = f"'run-clean' AS run_id, 'clean' AS stage, '{TS1}' AS ts"
     unp = " UNION ALL ".join(
-        f"SELECT 'run-clean' AS run_id, 'clean' AS stage, 'metric' AS kind, '{m}' AS key, CAST({m} AS DOUBLE) AS value, "
+        f"SELECT {head_cols}, 'metric' AS kind, '{m}' AS key, CAST({m} AS DOUBLE) AS value, "
         f"CAST(NULL AS VARCHAR) AS text FROM cl" for m in metrics)
-    par = ("SELECT 'run-clean', 'clean', 'param', 'iqr_multiplier', 1.5, NULL UNION ALL "
-           "SELECT 'run-clean', 'clean', 'param', 'outlier_columns', 4.0, NULL")
+    lo, hi = (f"({{c}}__q{q} {sign} 1.5 * ({{c}}__q3 - {{c}}__q1))" for q, sign in ((1, "-"), (3, "+")))
+    out = " UNION ALL ".join(
+        f"SELECT {head_cols}, 'metric', 'outlier_{c}_{name}', CAST({e.format(c=c)} AS DOUBLE), NULL FROM cleaned_qb"
+        for c in OUTLIER_COLUMNS for name, e in (
+            ("count", f"(SELECT count(*) FROM s4 WHERE TRY_CAST({c} AS DOUBLE) < {lo} OR TRY_CAST({c} AS DOUBLE) > {hi})"),
+            ("lower", f"round({lo}, 2)"), ("upper", f"round({hi}, 2)")))
+    quoted = lambda v: "'" + (", ".join(v) if isinstance(v, list) else v) + "'"
+    par = " UNION ALL ".join(
+        f"SELECT {head_cols}, '{kind}', '{k}', {v if isinstance(v, float) else 'NULL'}, "
+        f"{'NULL' if isinstance(v, float) else quoted(v)}"
+        for kind, own in (("param", CLEAN_PARAMS), ("tag", CLEAN_TAGS)) for k, v in own.items())
     val = " UNION ALL ".join(
-        f"SELECT 'run-validate', 'validate', 'metric', '{m}', CAST({e} AS DOUBLE), NULL FROM vs"
+        f"SELECT 'run-validate', 'validate', '{TS1}', 'metric', '{m}', CAST({e} AS DOUBLE), NULL FROM vs"
         for m, e in [("evaluated", "count(*)"), ("passed", "count(*) FILTER (WHERE success)"),
                      ("failed", "count(*) FILTER (WHERE NOT success)"),
                      ("success", "CASE WHEN count(*) FILTER (WHERE NOT success) = 0 THEN 1 ELSE 0 END")])
-    return (head + f",\ncl AS (SELECT{body}),\n{c2},\nvs AS ({b2})\n", unp + " UNION ALL " + par + " UNION ALL " + val)
+    return (head + f",\ncl AS (SELECT{body}),\n{c2},\nvs AS ({b2})\n",
+            " UNION ALL ".join([unp, out, par, val]))
 
 
 @register("append_run_log", lambda: "".join(_run_log_sql()))
 def q_append_run_log(spark, sf):
-    rows = _run_log(spark, sf)
-    path = scratch_path(spark, "run_log")
-    for _ in range(2):  # a rerun adds nothing
-        io.append_run_log(rows, path)
-    return spark.read.parquet(path).select(*rows.columns)
+    return _stored_log(spark, sf)
 
 
 @register("run_summary", lambda: _run_log_sql()[0] +
-          "SELECT section, position, key, value FROM (SELECT CASE kind WHEN 'metric' THEN 'metric' ELSE 'param' END "
+          "SELECT section, position, key, value, text FROM (SELECT CASE kind WHEN 'metric' THEN 'metric' ELSE 'param' END "
           "AS section, CASE WHEN kind = 'param' THEN 0 ELSE " + "CASE key " +
-          " ".join(f"WHEN '{k}' THEN {i}" for i, k in enumerate(CLEAN_METRICS)) + " END END AS position, key, value, kind "
+          " ".join(f"WHEN '{k}' THEN {i}" for i, k in enumerate(CLEAN_METRICS)) + " END END AS position, key, value, text, kind "
           f"FROM ({_run_log_sql()[1]})) WHERE (kind = 'metric' AND position IS NOT NULL) OR "
           f"(kind = 'param' AND key NOT IN ({', '.join(repr(s) for s in SKIP_PARAMS)}))")
 def q_run_summary(spark, sf):
-    return io.run_summary(_run_log(spark, sf), CLEAN_METRICS, SKIP_PARAMS)
+    return io.run_summary(_stored_log(spark, sf), CLEAN_METRICS, SKIP_PARAMS)
 
 
 @register("write_report")
@@ -127,5 +150,6 @@ def q_write_report(spark, sf):
                                      F.struct(*summ.columns).alias("validation"),
                                      F.lit(TS1).alias("timestamp"))
     path = scratch_path(spark, "report")
-    io.write_reports(row, path)
-    return spark.read.schema(row.schema).json(path)
+    for _ in range(2):  # a rerun adds nothing
+        io.write_reports(row, path, "run-clean")
+    return io.read_reports(spark, path, row.schema)

@@ -144,30 +144,44 @@ def latest_snapshot(spark: SparkSession, stage_path: str, fmt: str = "parquet")
     return spark.read.format(fmt).load(stage_path).where(F.col("snapshot") == newest["snapshot"])
 
 
-def write_reports(reports: DataFrame, path: str) -> str:
-    """#8: reports as JSON lines (one object per report)."""
-    reports.write.mode("append").json(path)
+def write_reports(reports: DataFrame, path: str, run_id: str) -> str:
+    """#8: the reports of a run as JSON lines (one object per report); a repeated run replaces its own."""
+    reports.write.mode("overwrite").json(f"{path.rstrip('/')}/run_id={run_id}")
     return path
 
 
 def read_reports(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """#9: read saved reports with a declared schema; broken records are skipped."""
-    return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+    """#9: read the saved reports of all runs with a declared schema; broken records are skipped."""
+    return (spark.read.schema(schema).option("mode", "DROPMALFORMED").option("recursiveFileLookup", "true").json(path))
 
 
-def run_log_rows(stage: str, run_id: str, metrics: DataFrame, params: dict[str, float] | None = None,
-                 tags: dict[str, str] | None = None) -> DataFrame:
-    """#10: one-row metric table -> long (run_id, stage, kind, key, value, text) rows."""
+def run_log_rows(stage: str, run_id: str, metrics: DataFrame, params: dict | None = None,
+                 tags: dict[str, str] | None = None, ts: str | None = None) -> DataFrame:
+    """#10: one-row metric table -> long (run_id, stage, ts, kind, key, value, text) rows.
+
+    Numbers go to ``value``; text parameters and tags go to ``text``, lists
+    joined by ", ".  ``ts`` is the run's time.
+    """
     num_cols = [c for c, t in metrics.dtypes if t in ("int", "bigint", "double", "float", "smallint")]
     long = metrics.select(F.inline(F.array(*[
         F.struct(F.lit("metric").alias("kind"), F.lit(c).alias("key"), F.col(c).cast("double").alias("value"),
                  F.lit(None).cast("string").alias("text")) for c in num_cols])))
-    extra = [(("param", k, float(v), None)) for k, v in (params or {}).items()] + \
-            [(("tag", k, None, str(v))) for k, v in (tags or {}).items()]
+    number = lambda v: isinstance(v, (int, float)) and not isinstance(v, bool)
+    text = lambda v: ", ".join(map(str, v)) if isinstance(v, (list, tuple)) else str(v)
+    extra = [("param", k, float(v), None) if number(v) else ("param", k, None, text(v)) for k, v in (params or {}).items()]
+    extra += [("tag", k, None, str(v)) for k, v in (tags or {}).items()]
     spark = metrics.sparkSession
     if extra:
         long = long.unionByName(spark.createDataFrame(extra, "kind string, key string, value double, text string"))
-    return long.select(F.lit(run_id).alias("run_id"), F.lit(stage).alias("stage"), "kind", "key", "value", "text")
+    return long.select(F.lit(run_id).alias("run_id"), F.lit(stage).alias("stage"), F.lit(ts).cast("string").alias("ts"),
+                       "kind", "key", "value", "text")
+
+
+def outlier_metrics(report: DataFrame, columns: list[str]) -> DataFrame:
+    """#10: the outlier report as one row: outlier_<column>_count, _lower and _upper."""
+    return report.groupBy().agg(*[
+        F.max(F.when(F.col("column") == c, F.col(source).cast("double"))).alias(f"outlier_{c}_{name}")
+        for c in columns for name, source in (("count", "outliers_found"), ("lower", "lower_bound"), ("upper", "upper_bound"))])
 
 
 def append_run_log(rows: DataFrame, path: str) -> None:
@@ -177,11 +191,16 @@ def append_run_log(rows: DataFrame, path: str) -> None:
      .parquet(path))
 
 
+def read_run_log(spark: SparkSession, path: str) -> DataFrame:
+    """The stored run log, columns as written."""
+    return spark.read.parquet(path).select("run_id", "stage", "ts", "kind", "key", "value", "text")
+
+
 def run_summary(log: DataFrame, metric_order: list[str], skip_params: list[str]) -> DataFrame:
-    """#64: metrics in display order, then parameters minus a skip list sorted by name."""
+    """#64: metrics in display order, then parameters (numbers or text) minus a skip list."""
     order = F.create_map(*[x for i, k in enumerate(metric_order) for x in (F.lit(k), F.lit(i))])
     m = log.where((F.col("kind") == "metric") & order[F.col("key")].isNotNull()).select(
-        F.lit("metric").alias("section"), order[F.col("key")].alias("position"), "key", "value")
+        F.lit("metric").alias("section"), order[F.col("key")].alias("position"), "key", "value", "text")
     p = log.where((F.col("kind") == "param") & ~F.col("key").isin(skip_params)).select(
-        F.lit("param").alias("section"), F.lit(0).alias("position"), "key", "value")
+        F.lit("param").alias("section"), F.lit(0).alias("position"), "key", "value", "text")
     return m.unionByName(p)

@@ -133,6 +133,53 @@ def test_registry_null_score_and_rerun_of_snapshot(spark, tmp_path):
     assert spark.read.parquet(path).count() == 2
 
 
+def test_promotion_in_many_levels(spark):
+    from homeledger.operators.model import promote
+    import random
+    rng = random.Random(4)
+    rows = [(v, "rf", rng.choice([None, round(rng.random() * v / 400, 3)])) for v in sorted(rng.sample(range(1, 400), 150))]
+    df = spark.createDataFrame(rows, "version long, model_type string, cv_adj_r2 double")
+    best, want = None, []
+    for v, _, score in rows:
+        want.append((v, best, score is not None and (best is None or score > best)))
+        best = score if best is None else max(best, score if score is not None else best)
+    for width in (2, 7, 1000):
+        got = promote(df, width)
+        assert [(r["version"], r["incumbent_score"], r["promoted"]) for r in got.orderBy("version").collect()] == want
+        assert "SinglePartition" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_run_log_keeps_text(spark, tmp_path):
+    from homeledger.sources import io
+    metrics = spark.createDataFrame([(5, 0.5)], "rows long, share double")
+    rows = io.run_log_rows("clean", "r1", metrics, {"place": "Cincinnati, OH", "k": 3, "styles": ["A", "B"]}, {"t": "x"}, "2025-01-01")
+    for _ in range(2):
+        io.append_run_log(rows, str(tmp_path / "log"))
+    io.append_run_log(io.run_log_rows("clean", "r2", metrics, ts="2025-01-02"), str(tmp_path / "log"))
+    got = {(r["run_id"], r["kind"], r["key"]): (r["ts"], r["value"], r["text"]) for r in io.read_run_log(spark, str(tmp_path / "log")).collect()}
+    assert len(got) == 8 and got["r1", "param", "place"] == ("2025-01-01", None, "Cincinnati, OH")
+    assert got["r1", "param", "k"][1] == 3.0 and got["r1", "param", "styles"][2] == "A, B" and got["r2", "metric", "share"][1] == 0.5
+    shown = io.run_summary(io.read_run_log(spark, str(tmp_path / "log")).where("run_id = 'r1'"), ["share", "rows"], ["k"]).collect()
+    assert sorted((r["section"], r["position"], r["key"]) for r in shown) == [
+        ("metric", 0, "share"), ("metric", 1, "rows"), ("param", 0, "place"), ("param", 0, "styles")]
+
+
+def test_reports_are_replaced_by_run(spark, tmp_path):
+    from homeledger.sources import io
+    rep = spark.createDataFrame([(1, "a")], "x int, y string")
+    for run in ("one", "one", "two"):
+        io.write_reports(rep, str(tmp_path), run)
+    assert [tuple(r) for r in io.read_reports(spark, str(tmp_path), rep.schema).collect()] == [(1, "a"), (1, "a")]
+
+
+def test_equal_review_times_have_one_answer(spark):
+    from homeledger.operators.review import review_decisions
+    rows = [("s", True, "", "ann", "t1"), ("s", False, "bad", "bob", "t1"), ("s", True, "", "cy", "t0")]
+    schema = "quarantined_snapshot string, approve boolean, reason string, reviewer string, review_timestamp string"
+    got = {review_decisions(spark.createDataFrame(order, schema)).first() for order in (rows, rows[::-1])}
+    assert len(got) == 1 and next(iter(got))["decision"] == "rejected"
+
+
 def test_nan_is_missing(spark):
     from homeledger.operators.clean import coerce_numeric
     from homeledger.operators.features import grouped_median_impute
