@@ -1,19 +1,18 @@
-"""SentencePiece encoding and decoding by the model's own merges (operator 9).
+"""SentencePiece encoding and decoding by a shared-prefix walk (operator 9).
 
 The public model is a BPE model: its scores are minus the merge ranks, and a
 text's encoding joins, again and again, the neighbours whose piece has the
-highest score (of equal scores, the leftmost).  ``MergeCoder`` does that and
-gives SentencePiece's ids; the queries use it.  ``PieceCoder`` alone takes the
-segmentation with the highest sum of scores (the unigram rule), which is another
-encoding under such a model.
+highest score.  ``MergeCoder`` gives these ids, SentencePiece's own, from a
+forward table over the trie of sorted words; the queries use it.  ``PieceCoder``
+alone takes the segmentation with the highest sum of scores (the unigram rule),
+which is another encoding under such a model, from a table of the same shape.
 
 No piece holds the space mark after another character, so a text falls apart
 into marked words (a run of marks and what follows), and each distinct word has
-one answer.  Words are remembered per Python worker.  ``PieceCoder`` sorts a
-batch's new words, which lines them up as a depth-first walk of their trie: the
-forward scores, back pointers and open pieces of the prefix shared with the word
-before are kept, and only the rest is searched (of equal sums, at every place
-the piece that starts first).
+one answer.  Words are remembered per Python worker.  A batch's new words are
+sorted, which lines them up as a depth-first walk of their trie: the forward
+table, back pointers and open pieces of the prefix shared with the word before
+are kept, and only the rest is searched.
 
 Characters without a piece become the byte pieces of their UTF-8 form.
 """
@@ -22,7 +21,6 @@ from __future__ import annotations
 
 import re
 from array import array
-from heapq import heapify, heappop, heappush
 from os.path import commonprefix
 
 from pyspark.sql import DataFrame
@@ -30,12 +28,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from homeledger.llm.shared import fresh_name, worker_state
+from homeledger.llm.tokens import Generations
 
 MARK = "▁"
 CACHE_WORDS = 200_000
 UNKNOWN_PENALTY = 10.0
 NO_PIECE = float("inf")
-LONG_WORD = 64  # characters; longer words are merged from a heap
+#: Pairs of pieces that one generation of the cache of neighbours holds.
+NEIGHBOURS = 400_000
+START = 1 << 18  # above all ids: the start of a word; higher numbers are characters without a piece
 
 
 class PieceCoder:
@@ -76,6 +77,7 @@ class PieceCoder:
         self.words = re.compile(f"{MARK}+[^{MARK}{cut}]*|[^{MARK}{cut}]+" + (f"|{cut}" if cut else "")).findall
         self.cache: dict[str, bytes] = {}
         self.marked: dict[str, bytes] = {}  # words as they stand between spaces
+        self.older: dict[str, bytes] = {}   # the generation of ``marked`` before
 
     def learn(self, words: list[str]) -> None:
         """Segment sorted distinct words, reusing what the previous word's prefix settled."""
@@ -122,12 +124,16 @@ class PieceCoder:
         simple = [t != "" and t[0] != " " and t[-1] != " " and "  " not in t and MARK not in t for t in texts]
         split = [t.split(" ") if s else self.words(MARK + t.replace(" ", MARK)) if t else []
                  for t, s in zip(texts, simple)]
-        if len(self.cache) + len(self.marked) > CACHE_WORDS:
+        if len(self.marked) > CACHE_WORDS:
+            self.older, self.marked = self.marked, {}
+        if len(self.cache) > CACHE_WORDS:
             self.cache.clear()
-            self.marked.clear()
-        cache, marked = self.cache, self.marked
+        cache, marked, older = self.cache, self.marked, self.older
         plain = set().union(*(w for w, s in zip(split, simple) if s)) - marked.keys()
-        parts = {w: self.words(MARK + w) for w in plain}
+        for w in plain & older.keys():  # what is asked for again moves back
+            marked[w] = older[w]
+        plain -= older.keys()
+        parts = {w: self.words(MARK + w) if "\n" in w else [MARK + w] for w in plain}
         new = set().union(*parts.values(), *(w for w, s in zip(split, simple) if not s)) - cache.keys()
         self.learn(sorted(new))
         for w, own in parts.items():
@@ -141,56 +147,82 @@ class PieceCoder:
 
 
 class MergeCoder(PieceCoder):
-    """Encoder in the merge order of a BPE model file: the ids of SentencePiece itself."""
+    """Encoder in the merge order of a BPE model file: the ids of SentencePiece itself.
+
+    Every prefix of a word has one encoding, hence one last piece: the piece
+    that ends there and whose two texts, its own and that of the last piece
+    before it, merge to just these two.  So a forward table over the sorted
+    words' trie holds that piece for every prefix, as the Viterbi table holds
+    the best score; whether two pieces can be neighbours is worked out by
+    merging once and remembered.
+    """
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        self.neighbours = Generations(NEIGHBOURS)
+        self.neighbours.make = self.fit_together
+        self.text = {i: p for p, i in self.ids.items()}
+
+    def merge(self, text: str) -> list[str]:
+        """The pieces (or single characters) that merging leaves of a short text."""
+        rank, parts = self.rank.get, list(text)
+        ranks = [rank(a + b, NO_PIECE) for a, b in zip(parts, parts[1:])]
+        while ranks and (low := min(ranks)) < NO_PIECE:
+            i = ranks.index(low)
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank(parts[i - 1] + parts[i], NO_PIECE)
+            if i < len(ranks):
+                ranks[i] = rank(parts[i] + parts[i + 1], NO_PIECE)
+        return parts
+
+    def fit_together(self, key: int) -> bool:
+        """Whether the piece of the lower bits can follow that of the upper ones (or start a word)."""
+        before, piece = key >> 20, self.text[key & 0xFFFFF]
+        if before == START:
+            return self.merge(piece) == [piece]
+        first = chr(before - START - 1) if before > START else self.text[before]
+        return self.merge(first + piece) == [first, piece]
 
-    def learn(self, words) -> None:
-        """Merge the characters of distinct words."""
-        rank, ids, cache = self.rank.get, self.ids.get, self.cache
+    def learn(self, words: list[str]) -> None:
+        """Encode sorted distinct words, reusing what the previous word's prefix settled."""
+        trie, ids, fits, cache, code = self.trie, self.ids.get, self.neighbours, self.cache, self.code
+        last, back, open_at, before = [START], [0], [[]], ""
         for word in words:
-            parts = list(word)
-            if len(parts) > LONG_WORD:
-                parts = self.merge_long(parts)
-            else:
-                ranks = [rank(a + b, NO_PIECE) for a, b in zip(parts, parts[1:])]
-                while ranks:
-                    low = min(ranks)
-                    if low == NO_PIECE:
-                        break
-                    i = ranks.index(low)
-                    parts[i:i + 2] = [parts[i] + parts[i + 1]]
-                    del ranks[i]
-                    if i:
-                        ranks[i - 1] = rank(parts[i - 1] + parts[i], NO_PIECE)
-                    if i < len(ranks):
-                        ranks[i] = rank(parts[i] + parts[i + 1], NO_PIECE)
-            out = []
-            for p in parts:
-                k = ids(p)
-                if k is not None:
-                    out.append(k)
+            keep = len(commonprefix((before, word)))
+            del last[keep + 1:], back[keep + 1:], open_at[keep + 1:]
+            for j in range(keep, len(word)):
+                c, still, link, piece = word[j], [], j, None
+                for i, node in open_at[j]:  # the longest piece first
+                    node = node.get(c)
+                    if node is not None:
+                        still.append((i, node))
+                        if piece is None:
+                            end = node.get("")
+                            if end is not None and fits[last[i] << 20 | end[1]]:
+                                link, piece = i, end[1]
+                node = trie.get(c)
+                if node is not None:
+                    still.append((j, node))
+                if piece is None:
+                    piece = ids(c)
+                    if piece is None:
+                        piece = START + 1 + ord(c)
+                last.append(piece)
+                back.append(link)
+                open_at.append(still)
+            out, at = [], len(word)
+            while at:
+                piece = last[at]
+                if piece < START:
+                    out.append(piece)
                 else:
-                    out += [self.byte_ids[x] for x in p.encode()]
-            cache[word] = array(self.code, out).tobytes()
-
-    def merge_long(self, parts: list[str]) -> list[str]:
-        """The same merges for a long word: the next one from a heap, neighbours in linked lists."""
-        rank, n = self.rank.get, len(parts)
-        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-        heap = [(r, i, i + 1, 2) for i in range(n - 1) if (r := rank(parts[i] + parts[i + 1])) is not None]
-        heapify(heap)
-        while heap:
-            _, i, j, size = heappop(heap)
-            if not parts[i] or not parts[j] or after[i] != j or len(parts[i]) + len(parts[j]) != size:
-                continue
-            parts[i] += parts[j]
-            parts[j] = ""
-            after[i] = after[j]
-            if after[i] < n:
-                before[after[i]] = i
-            for a, b in ((before[i], i), (i, after[i])):
-                if a >= 0 and b < n and (r := rank(parts[a] + parts[b])) is not None:
-                    heappush(heap, (r, a, b, len(parts[a]) + len(parts[b])))
-        return [p for p in parts if p]
+                    out += [self.byte_ids[x] for x in reversed(word[at - 1].encode())]
+                at = back[at]
+            out.reverse()
+            cache[word] = array(code, out).tobytes()
+            before = word
 
 
 def coder(path: str) -> MergeCoder:

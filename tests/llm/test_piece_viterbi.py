@@ -111,3 +111,26 @@ def test_merges_of_any_batch(own, texts):
     coder, sp = own
     for text, got in zip(texts, coder.encode(texts)):
         assert np.frombuffer(got, "<u2").tolist() == sp.encode(text)
+
+
+def test_words_remembered_over_generations(own, monkeypatch, spark):
+    """Small caches: words and neighbours are dropped, moved back and worked out again."""
+    monkeypatch.setattr(V, "CACHE_WORDS", 50)
+    monkeypatch.setattr(V, "NEIGHBOURS", 30)
+    coder, sp = V.MergeCoder(piece_model()), own[1]
+    texts = [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").limit(60).collect()]
+    for lo in range(0, 60, 7):
+        for text, got in zip(texts[lo:lo + 7], coder.encode(texts[lo:lo + 7])):
+            assert np.frombuffer(got, "<u2").tolist() == sp.encode(text)
+    assert len(coder.neighbours) <= 30
+
+
+def test_many_odd_words(own):
+    """20,000 strings of pieces, characters without a piece and marks."""
+    coder, sp = own
+    rng = np.random.default_rng(6)
+    some = [sp.id_to_piece(int(i)).replace(V.MARK, " ") for i in rng.integers(300, sp.get_piece_size(), 4000)]
+    odd = ["é", "日", "\x00", "😀", " ", "\n", "\t", "'", "ß", "<", "1"]
+    texts = ["".join(rng.choice(some if rng.random() < 0.8 else odd) for _ in range(rng.integers(1, 9))) for _ in range(20_000)]
+    for text, got in zip(texts, coder.encode(texts)):
+        assert np.frombuffer(got, "<u2").tolist() == sp.encode(text), text
