@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from array import array
+from os.path import commonprefix
 
 from homeledger.llm.shared import worker_state
 
@@ -73,6 +74,7 @@ class WordIds(Generations):
         super().__init__(CACHE_WORDS)
         self.tok = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.opening = commonprefix(self.specials)
         self.code = "H" if self.tok.get_vocab_size() <= 65_536 else "I"
         self.parts = PartIds(self.tok.model.tokenize, self.code)
         self.size = array(self.code).itemsize
@@ -82,7 +84,7 @@ class WordIds(Generations):
         if word.isalpha():  # ASCII letters only
             return self.parts[word.lower().decode()]
         text = word.decode()
-        if _PLAIN(text) and not any(t in text for t in self.specials):
+        if _PLAIN(text) and not (self.opening in text and any(t in text for t in self.specials)):
             return b"".join(map(self.parts.__getitem__, _PARTS(text.lower())))
         return array(self.code, self.tok.encode(text, add_special_tokens=False).ids).tobytes()
 
