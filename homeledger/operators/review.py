@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from homeledger.operators import quality as Q
 from homeledger.operators.rules import apply_filter_rules, split_column
 from homeledger.session import materialize
+from homeledger.sources import commits
 from homeledger.sources.io import stage_name, strip_known_prefix
 
 
@@ -105,30 +106,38 @@ def fix_and_approve(snapshots: DataFrame, rules: list[str], ts: str, by: str = "
                                                            F.lit(".csv"))).alias("removed_file"))
 
 
-def _write_files(rows: DataFrame, base_path: str) -> str:
-    """Rows as ``stage=…/file=…`` partitions; a rerun replaces the files it writes."""
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("stage", "file")
-     .parquet(base_path))
-    return base_path
+#: The unit of a store of reviewed rows.
+FILE_KEYS = ["stage", "file"]
+
+
+def read_files(spark: SparkSession, base_path: str) -> DataFrame:
+    """The rows that reviews moved, with the stage and file they went to."""
+    return commits.read(spark, base_path, FILE_KEYS)
 
 
-def write_fixed(snapshots: DataFrame, rules: list[str], base_path: str, by: str = "snapshot") -> str:
+def write_fixed(snapshots: DataFrame, rules: list[str], base_path: str, by: str = "snapshot",
+                version: str | None = None) -> str:
     """#43: one pass over the quarantined rows — the rest of each snapshot to
-    processed/fixed_…, the rows that a rule removes to archive/removed_…"""
+    processed/fixed_…, the rows that a rule removes to archive/removed_….  Both
+    become visible together; a rerun replaces the files it writes."""
     removed = F.col("split") == "removed"
-    return _write_files(split_column(snapshots, rules).select(
+    commits.publish(split_column(snapshots, rules).select(
         "*", F.when(removed, "archive").otherwise("processed").alias("stage"),
         F.when(removed, stage_name("removed", F.col(by))).otherwise(stage_name("fixed", F.col(by))).alias("file"))
-        .drop("split"), base_path)
+        .drop("split"), base_path, FILE_KEYS, version, step="fix and approve")
+    return base_path
 
 
-def apply_decisions(snapshots: DataFrame, decisions: DataFrame, base_path: str, by: str = "snapshot") -> str:
+def apply_decisions(snapshots: DataFrame, decisions: DataFrame, base_path: str, by: str = "snapshot",
+                    version: str | None = None) -> str:
     """#42: rows of decided snapshots to the decision's destination (processed/approved_… or
-    archive/rejected_…); undecided ones stay in quarantine."""
+    archive/rejected_…); undecided ones stay in quarantine.  All moves become visible
+    together; a rerun replaces the files it writes."""
     to = decisions.select(strip_known_prefix(F.col("quarantined_snapshot")).alias(by),
                           F.regexp_extract("destination_file", r"data/([^/]+)/", 1).alias("stage"),
                           F.regexp_extract("destination_file", r"([^/]+)\.csv$", 1).alias("file"))
-    return _write_files(snapshots.join(to, by), base_path)
+    commits.publish(snapshots.join(to, by), base_path, FILE_KEYS, version, step="review")
+    return base_path
 
 
 def review_reports(decisions: DataFrame, reports: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from homeledger.plans.registry import register
 from homeledger.plans.sqlbits import qlist, with_cleaned
 from homeledger.schema import LISTING_COLUMNS
 from homeledger.session import scratch_path
-from homeledger.sources import io
+from homeledger.sources import commits, io
 from homeledger.sources.fixture import listings
 
 LISTING_TYPES = {"string": "VARCHAR", "double": "DOUBLE", "int": "INTEGER", "bigint": "BIGINT",
@@ -127,7 +127,8 @@ def _route_sql():
     def wrap(b):
         return (f"SELECT dataset, success, CASE WHEN success THEN 'processed' ELSE 'errors' END AS route, "
                 f"CASE WHEN success THEN 'validated_' ELSE 'quarantined_' END || 'Cincinnati_OH_365d_20250414_183022' "
-                f"AS target_snapshot FROM ({SUMMARY.format(b)})")
+                f"AS target_snapshot, CASE dataset WHEN 'raw' THEN (SELECT count(*) FROM listings) ELSE "
+                f"(SELECT count(*) FROM cleaned) END AS rows FROM ({SUMMARY.format(b)})")
     return _both_sql(wrap=wrap)
 
 
@@ -138,13 +139,16 @@ def q_route_snapshot(spark, sf):
     name = "Cincinnati_OH_365d_20250414_183022"
     v = Q.summarize_suite(res, ["dataset"])
     routed = io.route_verdict(v, F.lit(name))
-    base = scratch_path(spark, "routed")
+    tables = {"raw": raw, "cleaned": clean}
+    written = None
     for r in routed.collect():  # one verdict per dataset
-        io.route_snapshot({"raw": raw, "cleaned": clean}[r["dataset"]], r["success"], f"{base}/dataset={r['dataset']}", name)
-    written = spark.read.parquet(base).select("dataset", F.col("stage").alias("route"),
-                                              F.col("snapshot").alias("target_snapshot")).distinct()
-    return written.join(routed.select("dataset", "success"), "dataset").select(
-        "dataset", "success", "route", "target_snapshot")
+        d, base = r["dataset"], scratch_path(spark, "routed")
+        unit = io.route_snapshot(tables[d], r["success"], base, name)
+        found = commits.read_unit(spark, base, unit).groupBy(
+            F.col("stage").alias("route"), F.col("snapshot").alias("target_snapshot")).agg(F.count(F.lit(1)).alias("rows"))
+        found = found.withColumns({"dataset": F.lit(d), "success": F.lit(r["success"])})
+        written = found if written is None else written.unionByName(found)
+    return written.select("dataset", "success", "route", "target_snapshot", "rows")
 
 
 def _null_audit_sql():

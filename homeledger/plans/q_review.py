@@ -133,7 +133,7 @@ def q_fix_and_approve(spark, sf):
     snapshots = raw.join(quar, "snapshot", "left_semi")
     path = RV.write_fixed(snapshots, FIX_RULES, scratch_path(spark, "fixed"))
     # the counts of the report are those of the files, read back
-    files = spark.read.parquet(path).groupBy("snapshot").agg(
+    files = RV.read_files(spark, path).groupBy("snapshot").agg(
         F.count_if(F.col("stage") == "processed").alias("rows_after"),
         F.count_if(F.col("stage") == "archive").alias("rows_removed"))
     report = RV.fix_and_approve(snapshots, FIX_RULES, TS2)
@@ -152,7 +152,7 @@ def q_review_moves(spark, sf):
     path = scratch_path(spark, "reviewed")
     for _ in range(2):  # a rerun adds nothing
         RV.apply_decisions(raw, decisions, path)
-    moved = spark.read.parquet(path).groupBy("stage", "file").agg(F.count(F.lit(1)).alias("rows")).select(
+    moved = RV.read_files(spark, path).groupBy("stage", "file").agg(F.count(F.lit(1)).alias("rows")).select(
         F.concat(F.lit("data/"), "stage", F.lit("/"), "file", F.lit(".csv")).alias("destination_file"), "rows")
     return RV.review_reports(decisions, run1.unionByName(run2)).join(moved, "destination_file").select(
         "destination_file", "decision", F.col("original_validation.failed").alias("original_failed"), "rows")

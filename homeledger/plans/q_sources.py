@@ -8,9 +8,9 @@ from homeledger.operators import clean as C
 from homeledger.operators import quality as Q
 from homeledger.operators import review as RV
 from homeledger.plans.q_clean import _cleaning_log_sql
-from homeledger.plans.q_review import STAMP, TS1, _label
+from homeledger.plans.q_review import STAMP, TS1, _label, _report_ctes
 from homeledger.plans.registry import register
-from homeledger.plans.sqlbits import with_listings
+from homeledger.plans.sqlbits import with_cleaned, with_listings
 from homeledger.schema import LISTING_COLUMNS, OUTLIER_COLUMNS, VALID_STYLES
 from homeledger.session import scratch_path
 from homeledger.sources import io
@@ -40,33 +40,35 @@ def q_pull_listings(spark, sf):
 def q_write_snapshot(spark, sf):
     snap = _label(listings(spark, sf))
     path = io.write_snapshot(snap, scratch_path(spark, "snapshots"), "cleaned")
-    back = spark.read.parquet(path)
+    back = io.read_snapshots(spark, path, "cleaned")
     return back.groupBy("snapshot").agg(F.first("county").alias("county"), F.count(F.lit(1)).alias("rows")).select(
         "county", "snapshot", io.stage_name("validated", F.col("snapshot")).alias("validated_name"), "rows")
 
 
-@register("latest_snapshot")
+@register("latest_snapshot", lambda: with_cleaned() + f"SELECT {ALL}, 'ALL_OH_365d_{STAMP}' AS snapshot FROM cleaned")
 def q_latest_snapshot(spark, sf):
     base = scratch_path(spark, "stage")
     lst = listings(spark, sf)
     older = _label(lst).withColumn("snapshot", F.concat(F.lit("old_"), F.col("snapshot")))
     io.write_snapshot(older, base, "cleaned")
-    import time
-    time.sleep(1.1)  # file times have second resolution on some file systems
     io.write_snapshot(_label(C.clean_data(lst)).withColumn("snapshot", F.lit(f"ALL_OH_365d_{STAMP}")), base, "cleaned")
-    return io.latest_snapshot(spark, f"{base}/stage=cleaned")
+    return io.latest_snapshot(spark, base, "cleaned")
 
 
-@register("read_reports")
+@register("read_reports", lambda: with_cleaned(*_report_ctes()) +
+          "SELECT snapshot, success, evaluated, passed, failed, timestamp, row_count, "
+          f"{len(LISTING_COLUMNS)} AS column_count, dataset_hash, data_path, failed_expectations FROM run1")
 def q_read_reports(spark, sf):
-    """#8 + #9: write the per-snapshot reports as JSON, add a broken file, read back."""
+    """#8 + #9: write the per-snapshot reports as JSON, leave a half-written run, read back."""
     from homeledger.schema import VALIDATION_REPORT_SCHEMA
     path = scratch_path(spark, "reports")
     reports = RV.validation_reports(_label(listings(spark, sf)), TS1)
     for _ in range(2):  # a rerun adds nothing
         io.write_reports(reports, path, "run-reports")
-    spark.createDataFrame([("{not json",)], "value string").write.mode("append").text(path)
-    return io.read_reports(spark, path, VALIDATION_REPORT_SCHEMA)
+    spark.createDataFrame([("{not json",)], "value string").write.text(f"{path}/data/version=killed/run_id=run-killed")
+    found = io.read_reports(spark, path, VALIDATION_REPORT_SCHEMA)
+    return found.withColumn("failures", F.array_join(F.transform("failures", lambda f: f["expectation"]), ", ")
+                            ).withColumnRenamed("failures", "failed_expectations")
 
 
 CLEAN_PARAMS = {"iqr_multiplier": 1.5, "location": "Cincinnati, OH", "valid_styles": list(VALID_STYLES),

@@ -1,8 +1,10 @@
 """Sources and sinks: listing files, snapshots, reports, run log, predictions.
 
 Files are snapshots; lineage lives in the snapshot name (``<verb>_<label>``).
-Instead of picking files by name, a stage is one partitioned table
-(``stage=…/snapshot=…``) so readers prune partitions.
+Instead of picking files by name or time, all stages of a base folder are one
+store with a commit log (:mod:`homeledger.sources.commits`), keyed by stage and
+snapshot: readers see what was published, and prune the rest.  Reports and the
+run log are stores of their own.
 """
 
 from __future__ import annotations
@@ -14,6 +16,10 @@ from pyspark.sql import types as T
 from homeledger.functions.columns import nan_to_null
 from homeledger.schema import KNOWN_PREFIXES, LISTING_SCHEMA
 from homeledger.session import scratch_path
+from homeledger.sources import commits
+
+#: The unit of a stage store.
+SNAPSHOT_KEYS = ["stage", "snapshot"]
 
 _MATERIALIZED: dict[tuple[str, str], str] = {}
 
@@ -84,19 +90,18 @@ def route_verdict(verdicts: DataFrame, source_name) -> DataFrame:
 
 
 def route_snapshot(df: DataFrame, verdict_success: bool, base_path: str, source_name: str,
-                   strict: bool = False) -> str:
-    """#7: write the snapshot to processed/ or errors/ — ONE write job.
+                   strict: bool = False, version: str | None = None) -> dict[str, str]:
+    """#7: publish the snapshot to processed or errors; returns its stage and name there.
 
     ``verdict_success`` is the suite verdict (45 rows reduced on the driver).
-    ``strict`` raises instead of quarantining.
+    ``strict`` raises instead of quarantining.  ``version`` as in ``write_snapshot``.
     """
     if not verdict_success and strict:
         raise ValueError(f"validation failed for {source_name}; strict mode refuses to quarantine")
     verb, stage = ("validated", "processed") if verdict_success else ("quarantined", "errors")
     name = f"{verb}_{_strip_prefix_py(source_name)}"
-    path = f"{base_path.rstrip('/')}/stage={stage}/snapshot={name}"
-    df.write.mode("errorifexists").parquet(path)
-    return path
+    write_snapshot(df.withColumn("snapshot", F.lit(name)), base_path, stage, version=version)
+    return {"stage": stage, "snapshot": name}
 
 
 def _strip_prefix_py(name: str) -> str:
@@ -120,39 +125,41 @@ def pull_listings(df: DataFrame, location: str, listing_type: str, past_days: in
     return df.where(cond)
 
 
-def write_snapshot(df: DataFrame, base_path: str, stage: str, fmt: str = "parquet") -> str:
-    """#6: write a table with a ``snapshot`` column as ``stage=…/snapshot=…`` partitions.
+def write_snapshot(df: DataFrame, base_path: str, stage: str, version: str | None = None) -> str:
+    """#6: publish a table with a ``snapshot`` column to a stage.
 
-    A rerun replaces the partitions of the snapshots it writes and leaves the
-    others, so no row is ever doubled.
+    Readers see the rows once all are written.  A rerun replaces the snapshots it
+    writes and leaves the others, and one under a ``version`` that is published
+    already adds nothing, so no row is ever doubled.
     """
-    path = f"{base_path.rstrip('/')}/stage={stage}"
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot")
-     .format(fmt).save(path))
-    return path
+    commits.publish(df.withColumn("stage", F.lit(stage)), base_path, SNAPSHOT_KEYS, version, step=f"write {stage}")
+    return base_path
+
+
+def read_snapshots(spark: SparkSession, base_path: str, stage: str) -> DataFrame:
+    """Rows of all published snapshots of a stage."""
+    return commits.read(spark, base_path, SNAPSHOT_KEYS).where(F.col("stage") == stage).drop("stage")
 
 
-def latest_snapshot(spark: SparkSession, stage_path: str, fmt: str = "parquet") -> DataFrame:
-    """#2: rows of the newest snapshot in a stage directory (by file modification time);
-    an empty stage raises."""
-    # a listing of names and times; no file is opened
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(stage_path)
-             .select("modificationTime", F.url_decode(F.regexp_extract("path", "snapshot=([^/]+)/", 1)).alias("snapshot")))
-    newest = files.where("snapshot <> ''").orderBy(F.desc("modificationTime"), F.desc("snapshot")).first()
-    if newest is None:
-        raise FileNotFoundError(f"no snapshot under {stage_path}")
-    return spark.read.format(fmt).load(stage_path).where(F.col("snapshot") == newest["snapshot"])
+def latest_snapshot(spark: SparkSession, base_path: str, stage: str) -> DataFrame:
+    """#2: rows of the snapshot of a stage that was published last (of one publication: the last
+    name); only its folder is read, and a stage without one raises."""
+    unit = commits.newest_unit(spark, base_path, SNAPSHOT_KEYS, stage=stage)
+    return commits.read_unit(spark, base_path, unit).drop("stage")
 
 
 def write_reports(reports: DataFrame, path: str, run_id: str) -> str:
-    """#8: the reports of a run as JSON lines (one object per report); a repeated run replaces its own."""
-    reports.write.mode("overwrite").json(f"{path.rstrip('/')}/run_id={run_id}")
+    """#8: publish the reports of a run as JSON lines (one object per report); a repeated run replaces its own."""
+    commits.publish(reports.withColumn("run_id", F.lit(run_id)), path, ["run_id"], step="reports", fmt="json")
     return path
 
 
 def read_reports(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """#9: read the saved reports of all runs with a declared schema; broken records are skipped."""
-    return (spark.read.schema(schema).option("mode", "DROPMALFORMED").option("recursiveFileLookup", "true").json(path))
+    """#9: the published reports of all runs with a declared schema (a field the reports lack is
+    null); broken records are skipped."""
+    found = commits.read(spark, path, ["run_id"])
+    return found.select(*[(F.col(f"`{f.name}`") if f.name in found.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                          for f in schema.fields])
 
 
 def run_log_rows(stage: str, run_id: str, metrics: DataFrame, params: dict | None = None,
@@ -185,15 +192,13 @@ def outlier_metrics(report: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def append_run_log(rows: DataFrame, path: str) -> None:
-    """#10: add runs to the run log table (Parquet, partitioned by stage and run); a
-    repeated run replaces its own rows."""
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("stage", "run_id")
-     .parquet(path))
+    """#10: publish runs to the run log table, keyed by stage and run; a repeated run replaces its own rows."""
+    commits.publish(rows, path, ["stage", "run_id"], step="run log")
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
-    """The stored run log, columns as written."""
-    return spark.read.parquet(path).select("run_id", "stage", "ts", "kind", "key", "value", "text")
+    """The published run log, columns as written."""
+    return commits.read(spark, path, ["stage", "run_id"]).select("run_id", "stage", "ts", "kind", "key", "value", "text")
 
 
 def run_summary(log: DataFrame, metric_order: list[str], skip_params: list[str]) -> DataFrame:

@@ -130,7 +130,7 @@ def test_registry_null_score_and_rerun_of_snapshot(spark, tmp_path):
     snap = spark.createDataFrame([(1, "a"), (2, "b")], "x int, snapshot string")
     for _ in range(2):
         path = io.write_snapshot(snap, str(tmp_path), "cleaned")
-    assert spark.read.parquet(path).count() == 2
+    assert io.read_snapshots(spark, path, "cleaned").count() == 2
 
 
 def test_promotion_in_many_levels(spark):
