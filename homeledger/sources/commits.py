@@ -120,17 +120,19 @@ def manifest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     return history(spark, path).withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__r")
 
 
-def read(spark: SparkSession, path: str, keys: list[str], units: DataFrame | None = None) -> DataFrame:
+def read(spark: SparkSession, path: str, keys: list[str], units: DataFrame | None = None,
+         schema: T.StructType | None = None) -> DataFrame:
     """The published rows (of ``units`` alone, a table with the key columns), each unit from its newest version.
 
     The units are joined on version and keys, which are the folders of the rows,
-    so Spark can prune the folders that no unit names.
+    so Spark can prune the folders that no unit names.  ``schema`` (which holds the
+    keys) replaces the newest commit's; a column that was not stored is null.
     """
     newest = _newest(spark, path)
     current = manifest(spark, path, keys).select("version", *keys)
     if units is not None:
         current = current.join(units.select(*keys).distinct(), keys, "left_semi")
-    schema = T.StructType.fromJson(json.loads(newest["schema"]))
+    schema = schema or T.StructType.fromJson(json.loads(newest["schema"]))
     rows = _rows(spark, _part(path, "data"), T.StructType([*schema.fields, T.StructField("version", T.StringType())]),
                  newest["format"])
     return rows.join(current, ["version", *keys], "left_semi").select(*schema.names)

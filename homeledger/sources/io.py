@@ -157,9 +157,8 @@ def write_reports(reports: DataFrame, path: str, run_id: str) -> str:
 def read_reports(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """#9: the published reports of all runs with a declared schema (a field the reports lack is
     null); broken records are skipped."""
-    found = commits.read(spark, path, ["run_id"])
-    return found.select(*[(F.col(f"`{f.name}`") if f.name in found.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-                          for f in schema.fields])
+    keyed = schema if "run_id" in schema.names else T.StructType([*schema.fields, T.StructField("run_id", T.StringType())])
+    return commits.read(spark, path, ["run_id"], schema=keyed).select(*schema.names)
 
 
 def run_log_rows(stage: str, run_id: str, metrics: DataFrame, params: dict | None = None,
