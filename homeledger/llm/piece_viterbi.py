@@ -36,6 +36,8 @@ UNKNOWN_PENALTY = 10.0
 NO_PIECE = float("inf")
 #: Pairs of pieces that one generation of the cache of neighbours holds.
 NEIGHBOURS = 400_000
+#: Steps between states that a worker remembers.
+STEPS = 1_000_000
 START = 1 << 18  # above all ids: the start of a word; higher numbers are characters without a piece
 
 
@@ -154,7 +156,9 @@ class MergeCoder(PieceCoder):
     before it, merge to just these two.  So a forward table over the sorted
     words' trie holds that piece for every prefix, as the Viterbi table holds
     the best score; whether two pieces can be neighbours is worked out by
-    merging once and remembered.
+    merging once and remembered.  The pieces that end at a prefix are those that
+    end its longest ending found at the start of a piece, a state that the next
+    character leads on from, so no list of open pieces is kept for each prefix.
     """
 
     def __init__(self, path: str):
@@ -162,6 +166,33 @@ class MergeCoder(PieceCoder):
         self.neighbours = Generations(NEIGHBOURS)
         self.neighbours.make = self.fit_together
         self.text = {i: p for p, i in self.ids.items()}
+        self.starts = {piece[:k] for piece in self.ids for k in range(1, len(piece) + 1)}
+        self.states: dict[str, tuple[dict, tuple, str]] = {}
+        self.known_steps = 0
+        self.root = self.state("")
+
+    def state(self, tail: str) -> tuple[dict, tuple, str]:
+        """The state of all prefixes whose longest ending that begins a piece is ``tail``: known steps to
+        other states, (length, id) of the pieces that end here, longest first, and ``tail``."""
+        held = self.states.get(tail)
+        if held is None:
+            ends = ((len(tail) - k, self.ids.get(tail[k:], -1)) for k in range(len(tail)))
+            held = self.states[tail] = ({}, tuple(e for e in ends if e[1] >= 0), tail)
+        return held
+
+    def step(self, state: tuple, c: str) -> tuple:
+        """The state after one more character, remembered."""
+        if self.known_steps >= STEPS:
+            self.known_steps = 0
+            for steps, _, _ in self.states.values():
+                steps.clear()
+        tail = state[2] + c
+        k = 0
+        while k < len(tail) and tail[k:] not in self.starts:
+            k += 1
+        self.known_steps += 1
+        state[0][c] = out = self.state(tail[k:])
+        return out
 
     def merge(self, text: str) -> list[str]:
         """The pieces (or single characters) that merging leaves of a short text."""
@@ -183,35 +214,34 @@ class MergeCoder(PieceCoder):
         if before == START:
             return self.merge(piece) == [piece]
         first = chr(before - START - 1) if before > START else self.text[before]
+        if first + piece in self.rank:  # merging would not stop at the two
+            return False
         return self.merge(first + piece) == [first, piece]
 
     def learn(self, words: list[str]) -> None:
         """Encode sorted distinct words, reusing what the previous word's prefix settled."""
-        trie, ids, fits, cache, code = self.trie, self.ids.get, self.neighbours, self.cache, self.code
-        last, back, open_at, before = [START], [0], [[]], ""
+        step, fits, cache, code = self.step, self.neighbours, self.cache, self.code
+        last, back, states, before = [START], [0], [self.root], ""
         for word in words:
-            keep = len(commonprefix((before, word)))
-            del last[keep + 1:], back[keep + 1:], open_at[keep + 1:]
+            keep = 0
+            for a, b in zip(before, word):
+                if a != b:
+                    break
+                keep += 1
+            del last[keep + 1:], back[keep + 1:], states[keep + 1:]
+            state = states[keep]
             for j in range(keep, len(word)):
-                c, still, link, piece = word[j], [], j, None
-                for i, node in open_at[j]:  # the longest piece first
-                    node = node.get(c)
-                    if node is not None:
-                        still.append((i, node))
-                        if piece is None:
-                            end = node.get("")
-                            if end is not None and fits[last[i] << 20 | end[1]]:
-                                link, piece = i, end[1]
-                node = trie.get(c)
-                if node is not None:
-                    still.append((j, node))
-                if piece is None:
-                    piece = ids(c)
-                    if piece is None:
-                        piece = START + 1 + ord(c)
+                c = word[j]
+                state = state[0].get(c) or step(state, c)
+                for n, piece in state[1]:  # the longest piece first
+                    if n == 1 or fits[last[j + 1 - n] << 20 | piece]:
+                        link = j + 1 - n
+                        break
+                else:
+                    link, piece = j, START + 1 + ord(c)
                 last.append(piece)
                 back.append(link)
-                open_at.append(still)
+                states.append(state)
             out, at = [], len(word)
             while at:
                 piece = last[at]
