@@ -35,9 +35,9 @@ CACHE_WORDS = 200_000
 UNKNOWN_PENALTY = 10.0
 NO_PIECE = float("inf")
 #: Pairs of pieces that one generation of the cache of neighbours holds.
-NEIGHBOURS = 400_000
+NEIGHBOURS = 200_000
 #: Steps between states that a worker remembers.
-STEPS = 1_000_000
+STEPS = 100_000
 START = 1 << 18  # above all ids: the start of a word; higher numbers are characters without a piece
 
 
@@ -166,6 +166,7 @@ class MergeCoder(PieceCoder):
         self.neighbours = Generations(NEIGHBOURS)
         self.neighbours.make = self.fit_together
         self.text = {i: p for p, i in self.ids.items()}
+        self.trie.clear()  # the states take its place
         self.starts = {piece[:k] for piece in self.ids for k in range(1, len(piece) + 1)}
         self.states: dict[str, tuple[dict, tuple, str]] = {}
         self.known_steps = 0
