@@ -25,6 +25,7 @@ from homeledger.llm.shared import fresh_name, id_bucket, ship, tidy
 
 ORDER = 3
 SAMPLE_BYTES = 2_000_000
+RUN_BYTES = 1_000_000
 UNKNOWN = "und"
 RESULT = "lang_pred string, score double, bits_per_byte double"
 
@@ -107,10 +108,22 @@ class ContextTrees:
         return out
 
     def code_lengths(self, texts: list[bytes]):
-        """Bits of each text under each language (texts hold one byte or more)."""
+        """Bits of each text under each language (texts hold one byte or more).
+
+        A text of over ``RUN_BYTES`` is read in runs that look ``ORDER`` bytes
+        back; the bits of its runs add up.
+        """
+        out = self._run_lengths(*_grams([t[:RUN_BYTES] for t in texts]))
+        for j, t in enumerate(texts):
+            for lo in range(RUN_BYTES, len(t), RUN_BYTES):
+                codes, sizes = _grams([t[lo - ORDER:lo + RUN_BYTES]])
+                out[j] += self._run_lengths(codes[ORDER:], sizes - ORDER)[0]
+        return out
+
+    def _run_lengths(self, codes, sizes):
+        """Bits of consecutive runs of (ORDER + 1)-byte strings, per language."""
         import numpy as np
 
-        codes, sizes = _grams(texts)
         a, cls = self.n_classes, self.classes
         part = [cls[(codes >> np.uint32(8 * k)) & np.uint32(255)] for k in range(ORDER, -1, -1)]
         head = self.head_row[(part[0] * a + part[1]) * a + part[2]]
@@ -134,7 +147,7 @@ class ContextTrees:
         lo = 0
         while lo < len(todo):
             hi, n = lo, 0
-            while hi < len(todo) and (hi == lo or n + len(raw[todo[hi]]) <= 1_000_000):
+            while hi < len(todo) and (hi == lo or n + len(raw[todo[hi]]) <= RUN_BYTES):
                 n += len(raw[todo[hi]])
                 hi += 1
             part = todo[lo:hi]
@@ -242,7 +255,10 @@ def keep_identified(docs: DataFrame, min_score: float = 0.5, max_bits: float = 7
     A text is rejected if it is null or has no letter, if no language holds at
     least ``min_score`` of the probability, or if even the best language codes
     it worse than ``max_bits`` a byte.  With nothing to learn from, every text
-    with a letter is kept.
+    with a letter is kept.  Ties between languages go to the first by name;
+    repeated rows are judged alike and each kept or dropped; an empty table
+    gives an empty one; columns of any name are carried along; very long texts
+    are read whole, in runs.
     """
     trees = train(docs.select("doc_id", "text", "lang"), learnable(), sample_bytes)
     name = fresh_name(docs, "ppm")

@@ -19,7 +19,10 @@ weights collapse into one weight per subsequence (exactly): a task scores each
 distinct unit once from a table bounded by the number of landmarks.
 
 Training reads at most ``max_toxic`` + ``max_clean`` labelled texts (expected;
-a documented bound of the classifier); every text is scored whole.
+a documented bound of the classifier), and takes units of at most
+``EXAMPLE_LETTERS`` letters as examples; every text is scored whole.  Units are
+read in runs of ``RUN_CHARS`` characters whose sums add up, so a text without
+white space needs no more memory than any other.
 """
 
 from __future__ import annotations
@@ -39,6 +42,8 @@ DECAY = 0.7
 LANDMARKS = 320
 MAX_TOXIC = 2000
 MAX_CLEAN = 4000
+RUN_CHARS = 50_000
+EXAMPLE_LETTERS = 64
 RESULT = "score double, predicted int"
 _PATTERNS = [(0, *p) for p in itertools.combinations(range(1, SPAN), 3)]
 _NOT_LETTER = re.compile(r"[\W\d_]+")
@@ -66,11 +71,39 @@ def units(text: str) -> set[str]:
     return out
 
 
-def subsequences(words: list[str]):
+def example_units(text: str) -> list[str]:
+    """Sorted distinct units of a text, short enough to learn from."""
+    return sorted(u for u in {unit_of(w) for w in units(text)} if 0 < len(u) <= EXAMPLE_LETTERS)
+
+
+def runs_of_units(words: list[str], chars: int):
+    """(unit numbers, pieces, starts) of about ``chars`` characters each.
+
+    A longer unit is cut into pieces that share ``SPAN`` - 1 characters; only
+    the first ``starts`` characters of a piece begin subsequences, so each
+    subsequence of the unit falls in one piece.
+    """
+    own, part, starts, n = [], [], [], 0
+    for k, w in enumerate(words):
+        for lo in range(0, max(len(w), 1), chars):
+            size = min(chars, len(w) - lo)
+            if part and n + size > chars:
+                yield own, part, starts
+                own, part, starts, n = [], [], [], 0
+            own.append(k)
+            part.append(w[lo:lo + chars + SPAN - 1])
+            starts.append(size)
+            n += size
+    if part:
+        yield own, part, starts
+
+
+def subsequences(words: list[str], starts: list[int] | None = None):
     """(unit number, subsequence code, weight) of every gapped four-character subsequence, and norms.
 
     Callers mark the start of a unit with ``^``.  Characters beyond the basic
-    plane count by their low 16 bits.
+    plane count by their low 16 bits.  With ``starts``, only that many first
+    characters of each word begin subsequences.
     """
     import numpy as np
 
@@ -80,6 +113,9 @@ def subsequences(words: list[str]):
     owner = np.repeat(np.arange(len(words)), sizes)
     end = np.repeat(np.cumsum(sizes), sizes)
     at = np.arange(len(flat))
+    if starts is not None:
+        at = at[at < np.repeat(np.cumsum(sizes) - sizes + np.asarray(starts, np.int64), sizes)]
+        end = end[at]
     who, code, weight = [], [], []
     for p in _PATTERNS:
         i = at[at + p[3] < end]
@@ -128,20 +164,25 @@ class SubsequenceScorer:
         """SVM decision value of each unit."""
         import numpy as np
 
-        out = np.full(len(words), self.bias)
         if not words or not len(self.codes):
-            return out
-        who, code, weight, norm = subsequences(["^" + w for w in words])
-        at = self.first[self._slot(code)]
-        hit = at >= 0
-        at, code, who, weight = at[hit], code[hit], who[hit], weight[hit]
-        same = self.codes[at] == code
-        value = np.where(same, self.weights[at], 0.0)
-        if len(self.rest):
-            other = np.flatnonzero(~same)
-            i = np.minimum(np.searchsorted(self.rest, code[other]), len(self.rest) - 1)
-            value[other] = np.where(self.rest[i] == code[other], self.rest_weights[i], 0.0)
-        return out + np.bincount(who, weight * value, len(words)) / norm
+            return np.full(len(words), self.bias)
+        total, square = np.zeros(len(words)), np.zeros(len(words))
+        for own, part, starts in runs_of_units(["^" + w for w in words], RUN_CHARS):
+            first, n = own[0], own[-1] - own[0] + 1
+            who, code, weight, _ = subsequences(part, starts)
+            who = np.asarray(own)[who] - first
+            square[first:first + n] += np.bincount(who, weight * weight, n)
+            at = self.first[self._slot(code)]
+            hit = at >= 0
+            at, code, who, weight = at[hit], code[hit], who[hit], weight[hit]
+            same = self.codes[at] == code
+            value = np.where(same, self.weights[at], 0.0)
+            if len(self.rest):
+                other = np.flatnonzero(~same)
+                i = np.minimum(np.searchsorted(self.rest, code[other]), len(self.rest) - 1)
+                value[other] = np.where(self.rest[i] == code[other], self.rest_weights[i], 0.0)
+            total[first:first + n] += np.bincount(who, weight * value, n)
+        return self.bias + total / np.where(square > 0, np.sqrt(square), 1.0)
 
     def worst(self, texts: list[str]):
         """Highest decision value among the units of each text (that of no unit for an empty text)."""
@@ -151,10 +192,7 @@ class SubsequenceScorer:
         raw = list(set().union(*bags)) if bags else []
         clean = [unit_of(w) for w in raw]
         letters = sorted(set(clean))
-        value = {}
-        for lo in range(0, len(letters), 5_000):
-            part = letters[lo:lo + 5_000]
-            value.update(zip(part, self.decide(part).tolist()))
+        value = dict(zip(letters, self.decide(letters).tolist()))
         by_raw = {w: value[u] for w, u in zip(raw, clean)}
         return np.array([max(map(by_raw.__getitem__, b), default=self.bias) for b in bags], float)
 
@@ -304,7 +342,9 @@ def telling_subsequences(sample: DataFrame, most: int = 20_000) -> SubsequenceSc
             toxic = np.asarray(b.column(1).to_pylist())
             codes, label = [], []
             for text, t in zip(b.column(0).to_pylist(), toxic):
-                own = np.unique(subsequences(["^" + u for u in sorted({unit_of(w) for w in units(text)})])[1])
+                own = np.unique(np.concatenate([np.empty(0, np.uint64)] + [
+                    np.unique(subsequences(part, starts)[1])
+                    for _, part, starts in runs_of_units(["^" + u for u in example_units(text)], RUN_CHARS)]))
                 codes.append(own)
                 label.append(np.full(len(own), t == 1))
             if codes:
@@ -338,7 +378,7 @@ def examples(sample: DataFrame, scorer: SubsequenceScorer, hard: int = 3, usual:
         for b in batches:
             out = []
             for text, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                own = sorted({unit_of(w) for w in units(text)} - {""})
+                own = example_units(text)
                 if own:
                     value = dict(zip(own, scorer.decide(own).tolist()))
                     out += [(u, t) for u in sorted(own, key=lambda u: -value[u])[:hard]]
@@ -442,7 +482,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **options) -> DataFrame:
-    """Rows of ``docs``, all columns, that score below ``threshold``."""
+    """Rows of ``docs``, all columns, that score below ``threshold``.
+
+    A null or empty text, or one without a letter, scores as in
+    :func:`toxicity`.  Repeated rows are scored alike and each kept or dropped;
+    a score equal to ``threshold`` drops the row; an empty table gives an empty
+    one; columns of any name are carried along; very long texts are read whole.
+    """
     name = fresh_name(docs, "toxicity")
     call = predictor(docs.sparkSession, train(docs, labels, learnable(), **options))
     return docs.withColumn(name, call("text")).where(F.col(name)["score"] < threshold).drop(name)

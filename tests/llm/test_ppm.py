@@ -59,6 +59,27 @@ def test_code_lengths_are_exact():
     assert lang == ["en", "de", "und", "und", "und"] and score[2:] == [0.0] * 3 and all(0 <= s <= 1 for s in score)
 
 
+def test_runs_of_long_texts_add_up(monkeypatch):
+    model = trees({"de": ["der hund und die katze"], "en": ["the dog and the cat"]})
+    texts = [b"the cat and the dog " * 9, b"x", "die straße 日本".encode() * 5]
+    whole = model.code_lengths(texts)
+    for size in (4, 5, 17, 100):
+        monkeypatch.setattr(ppm, "RUN_BYTES", size)
+        assert np.allclose(model.code_lengths(texts), whole)
+
+
+def test_memory_on_one_long_text():
+    import tracemalloc
+
+    model = trees({"de": ["der hund und die katze"], "en": ["the dog and the cat"]})
+    text = "thecatandthedogs" * 625_000
+    tracemalloc.start()
+    assert model.predict([text])[0] == ["en"]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300e6
+
+
 def test_held_out_accuracy(spark):
     got = op3_ppm_language(spark, "/root/testdata/sf0.01").join(
         spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang"), "doc_id").collect()

@@ -53,6 +53,36 @@ def test_units_join_spelled_out_words():
     assert "ab" not in S.units("a b") and S.unit_of("st*u-p1id") == "stupid"
 
 
+def test_runs_of_long_units_add_up(monkeypatch):
+    scorer = S.fit({"stupid": 5, "moron": 4}, {"student": 2, "morning": 2, "radio": 1}, landmarks=5)
+    rng = np.random.default_rng(2)
+    words = ["stupid", "", "a", "".join(rng.choice(list("stupidmorn"), 700)), "moron", "x" * 33]
+    whole = scorer.decide(words)
+    for chars in (1, 3, 7, 64, 1000):
+        monkeypatch.setattr(S, "RUN_CHARS", chars)
+        assert np.allclose(scorer.decide(words), whole, rtol=1e-12, atol=1e-12)
+
+
+def test_memory_on_a_text_without_white_space():
+    import tracemalloc
+
+    scorer = S.fit({"stupid": 5, "moron": 4}, {"student": 2, "morning": 2, "radio": 1}, landmarks=5)
+    text = "".join(np.random.default_rng(3).choice(list("stupidmornxyz"), 10_000_000))
+    tracemalloc.start()
+    got = scorer.score([text, "a student"])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.isfinite(got).all() and peak < 300e6
+
+
+def test_one_long_unit_does_not_break_training(spark):
+    docs, labels = learned(spark)
+    long_unit = spark.createDataFrame([(1000, "stupid" * 200_000, "en", "s", 0), (1001, "house" * 200_000, "en", "s", 0)], docs.schema)
+    more = labels.unionByName(spark.createDataFrame([(1000, 1, 1), (1001, 1, 0)], labels.schema))
+    got = {r["doc_id"]: r["predicted"] for r in S.toxicity(docs.unionByName(long_unit), more).collect()}
+    assert len(got) == 402 and all(got[i] == int(i % 5 == 0) for i in range(400)) and got[1001] == 0
+
+
 def learned(spark):
     words = "the house stands near river and green hills where people walk slowly every morning while birds sing".split()
     rng = np.random.default_rng(4)
