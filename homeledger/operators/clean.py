@@ -1,13 +1,13 @@
 """Listing cleaning: empty rows, duplicates, missing target, style filter, IQR outliers.
 
 Each step is ``DataFrame -> DataFrame``; :func:`clean_steps` also returns the
-intermediate frames so one aggregate can count every step (the cleaning log)
-without an action per step.
+intermediate frames, :func:`clean_observed` counts every step (the cleaning log)
+in the jobs that write the rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from homeledger.functions.columns import all_of, scalar_columns
@@ -130,30 +130,49 @@ def clean_data(df: DataFrame, multiplier: float = IQR_MULTIPLIER) -> DataFrame:
     return clean_steps(df, multiplier)["cleaned"]
 
 
-def cleaning_log(df: DataFrame, multiplier: float = IQR_MULTIPLIER) -> DataFrame:
-    """#35: rows before/after, rows dropped per step, total and percent removed.
+def clean_observed(df: DataFrame, multiplier: float = IQR_MULTIPLIER) -> tuple[dict[str, DataFrame], DataFrame]:
+    """#19 with #35: (``style_filtered`` and ``cleaned`` as written tables, the cleaning log).
 
-    Two aggregates instead of one count per step: raw and non-empty counts in
-    one pass over the input; the deduplicated rows are counted with flags for
-    target present, style kept and inside the fences (fences from the
-    style-filtered rows, broadcast as one row) in one pass over the dedup
-    output.
+    The log comes out of the two jobs that write the rows (``observe``); no
+    scan serves it alone.  Equal rows are combined before the shuffle with
+    their number of copies, empty ones included, so every count is taken in the
+    writing stage itself, whose tasks count once even if an executor is lost
+    and the stages before are run again.
     """
-    non_empty = ~F.lit(True) if not df.columns else ~all_of([F.col(f"`{c}`").isNull() for c in df.columns])
-    raw = df.agg(F.count(F.lit(1)).alias("raw"), F.count_if(non_empty).alias("non_empty"))
-    d = materialize(deduplicate(drop_empty_rows(df)), "clean-deduplicated")
-    has_target = F.col(TARGET).isNotNull()
-    style_ok = F.col("style").isin(VALID_STYLES) | F.col("style").isNull()
-    present = [c for c in OUTLIER_COLUMNS if c in df.columns]
-    fences = iqr_bounds(filter_style(remove_missing_target(d)), present, multiplier)
-    inside = all_of([F.coalesce(_inside(c), F.lit(True)) for c in present])
-    counts = d.crossJoin(F.broadcast(fences)).agg(
-        F.count(F.lit(1)).alias("deduplicated"), F.count_if(has_target).alias("with_target"),
-        F.count_if(has_target & style_ok).alias("style_filtered"),
-        F.count_if(has_target & style_ok & inside).alias("cleaned"))
-    return raw.crossJoin(counts).select(
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    if len(scalar_columns(df)) < len(cols):
+        raise ValueError("clean_observed: nested columns present; rows cannot be compared")
+    floats = {f.name for f in df.schema.fields if f.dataType.typeName() in ("float", "double")}
+    empty = all_of([F.col(f"`{c}`").isNull() | (F.isnan(F.col(f"`{c}`")) if c in floats else F.lit(False)) for c in df.columns])
+    copies = F.col("__copies")
+    kept = ~F.coalesce(empty, F.lit(False))
+    target = kept & ~(F.col(TARGET).isNull() | (F.isnan(TARGET) if TARGET in floats else F.lit(False)))
+    styled = target & (F.col("style").isin(VALID_STYLES) | F.col("style").isNull())
+    first, last = Observation(), Observation()
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    filtered = materialize(
+        df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__copies"))
+        .observe(first, total(copies).alias("raw"), total(F.when(kept, copies)).alias("non_empty"),
+                 F.count_if(kept).alias("deduplicated"), F.count_if(target).alias("with_target"),
+                 F.count_if(styled).alias("style_filtered"))
+        .where(styled).select(*cols), "clean-filtered")
+    cleaned = materialize(remove_outliers_iqr(filtered, OUTLIER_COLUMNS, multiplier)
+                          .observe(last, F.count(F.lit(1)).alias("cleaned")), "cleaned")
+    counts = {**first.get, **last.get}
+    names = ["raw", "non_empty", "deduplicated", "with_target", "style_filtered", "cleaned"]
+    row = df.sparkSession.range(1).select(*[F.lit(int(counts.get(n) or 0)).cast("long").alias(n) for n in names])
+    return {"style_filtered": filtered, "cleaned": cleaned}, _log_row(row, len(cols))
+
+
+def cleaning_log(df: DataFrame, multiplier: float = IQR_MULTIPLIER) -> DataFrame:
+    """#35: rows before/after, rows dropped per step, total and percent removed."""
+    return clean_observed(df, multiplier)[1]
+
+
+def _log_row(counts: DataFrame, n_columns: int) -> DataFrame:
+    return counts.select(
         F.col("raw").alias("raw_rows"),
-        F.lit(len(df.columns)).alias("raw_columns"),
+        F.lit(n_columns).alias("raw_columns"),
         (F.col("raw") - F.col("non_empty")).alias("empty_rows_dropped"),
         (F.col("non_empty") - F.col("deduplicated")).alias("duplicates_dropped"),
         (F.col("deduplicated") - F.col("with_target")).alias("missing_target_dropped"),

@@ -78,10 +78,10 @@ CLEAN_TAGS = {"pipeline_stage": "data_cleaning"}
 
 def _run_log(spark, sf):
     lst = listings(spark, sf)
-    log = C.cleaning_log(lst)
-    bounds = io.outlier_metrics(C.outlier_report(C.clean_steps(lst)["style_filtered"]), OUTLIER_COLUMNS)
+    steps, log = C.clean_observed(lst)
+    bounds = io.outlier_metrics(C.outlier_report(steps["style_filtered"]), OUTLIER_COLUMNS)
     clean = io.run_log_rows("clean", "run-clean", log.crossJoin(F.broadcast(bounds)), CLEAN_PARAMS, CLEAN_TAGS, TS1)
-    summ = Q.summarize_suite(Q.evaluate_suite(C.clean_data(lst))).select(
+    summ = Q.summarize_suite(Q.evaluate_suite(steps["cleaned"])).select(
         "evaluated", "passed", "failed", F.col("success").cast("int").alias("success"))
     val = io.run_log_rows("validate", "run-validate", summ, ts=TS1)
     return clean.unionByName(val)
@@ -146,8 +146,8 @@ def q_run_summary(spark, sf):
 def q_write_report(spark, sf):
     """#8: the cleaning log and suite summary written as one JSON report row, read back."""
     lst = listings(spark, sf)
-    log = C.cleaning_log(lst)
-    summ = Q.summarize_suite(Q.evaluate_suite(C.clean_data(lst)))
+    steps, log = C.clean_observed(lst)
+    summ = Q.summarize_suite(Q.evaluate_suite(steps["cleaned"]))
     row = log.crossJoin(summ).select(F.struct(*log.columns).alias("cleaning_log"),
                                      F.struct(*summ.columns).alias("validation"),
                                      F.lit(TS1).alias("timestamp"))
