@@ -77,33 +77,34 @@ def example_units(text: str) -> list[str]:
 
 
 def runs_of_units(words: list[str], chars: int):
-    """(unit numbers, pieces, starts) of about ``chars`` characters each.
+    """(number of the first unit, units, None) of at most ``chars`` characters each.
 
-    A longer unit is cut into pieces that share ``SPAN`` - 1 characters; only
-    the first ``starts`` characters of a piece begin subsequences, so each
-    subsequence of the unit falls in one piece.
+    A longer unit comes alone, in pieces (its number, [piece], starts) that
+    share ``SPAN`` - 1 characters; only the first ``starts`` characters of a
+    piece begin subsequences, so each subsequence of the unit falls in one.
     """
-    own, part, starts, n = [], [], [], 0
-    for k, w in enumerate(words):
-        for lo in range(0, max(len(w), 1), chars):
-            size = min(chars, len(w) - lo)
-            if part and n + size > chars:
-                yield own, part, starts
-                own, part, starts, n = [], [], [], 0
-            own.append(k)
-            part.append(w[lo:lo + chars + SPAN - 1])
-            starts.append(size)
-            n += size
-    if part:
-        yield own, part, starts
-
-
-def subsequences(words: list[str], starts: list[int] | None = None):
+    import numpy as np
+
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+    lo = 0
+    while lo < len(words):
+        size = len(words[lo])
+        if size > chars:
+            for at in range(0, size, chars):
+                yield lo, [words[lo][at:at + chars + SPAN - 1]], min(chars, size - at)
+            lo += 1
+        else:
+            hi = int(np.searchsorted(ends, ends[lo] - size + chars, "right"))
+            yield lo, words[lo:hi], None
+            lo = hi
+
+
+def subsequences(words: list[str], starts: int | None = None):
     """(unit number, subsequence code, weight) of every gapped four-character subsequence, and norms.
 
     Callers mark the start of a unit with ``^``.  Characters beyond the basic
     plane count by their low 16 bits.  With ``starts``, only that many first
-    characters of each word begin subsequences.
+    characters (of a single word) begin subsequences.
     """
     import numpy as np
 
@@ -114,8 +115,7 @@ def subsequences(words: list[str], starts: list[int] | None = None):
     end = np.repeat(np.cumsum(sizes), sizes)
     at = np.arange(len(flat))
     if starts is not None:
-        at = at[at < np.repeat(np.cumsum(sizes) - sizes + np.asarray(starts, np.int64), sizes)]
-        end = end[at]
+        at, end = at[:starts], end[:starts]
     who, code, weight = [], [], []
     for p in _PATTERNS:
         i = at[at + p[3] < end]
@@ -167,11 +167,10 @@ class SubsequenceScorer:
         if not words or not len(self.codes):
             return np.full(len(words), self.bias)
         total, square = np.zeros(len(words)), np.zeros(len(words))
-        for own, part, starts in runs_of_units(["^" + w for w in words], RUN_CHARS):
-            first, n = own[0], own[-1] - own[0] + 1
-            who, code, weight, _ = subsequences(part, starts)
-            who = np.asarray(own)[who] - first
-            square[first:first + n] += np.bincount(who, weight * weight, n)
+        for lo, part, starts in runs_of_units(["^" + w for w in words], RUN_CHARS):
+            own = slice(lo, lo + len(part))
+            who, code, weight, norm = subsequences(part, starts)
+            square[own] += norm * norm if starts is None else weight @ weight
             at = self.first[self._slot(code)]
             hit = at >= 0
             at, code, who, weight = at[hit], code[hit], who[hit], weight[hit]
@@ -181,7 +180,7 @@ class SubsequenceScorer:
                 other = np.flatnonzero(~same)
                 i = np.minimum(np.searchsorted(self.rest, code[other]), len(self.rest) - 1)
                 value[other] = np.where(self.rest[i] == code[other], self.rest_weights[i], 0.0)
-            total[first:first + n] += np.bincount(who, weight * value, n)
+            total[own] += np.bincount(who, weight * value, len(part))
         return self.bias + total / np.where(square > 0, np.sqrt(square), 1.0)
 
     def worst(self, texts: list[str]):
