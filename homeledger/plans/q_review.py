@@ -16,7 +16,7 @@ from homeledger.plans.q_quality import fingerprint_sql, suite_sql
 from homeledger.plans.registry import register
 from homeledger.plans.sqlbits import with_cleaned
 from homeledger.schema import LISTING_COLUMNS
-from homeledger.session import scratch_path
+from homeledger.session import materialize, scratch_path
 from homeledger.sources.fixture import listings
 from homeledger.sources.io import snapshot_label
 
@@ -148,7 +148,7 @@ def q_fix_and_approve(spark, sf):
 def q_review_moves(spark, sf):
     """#42: the rows that approving and rejecting moved, read back from their destinations."""
     raw, run1, run2 = _reports(spark, sf)
-    decisions = RV.review_decisions(_reviews(run1))
+    decisions = materialize(RV.review_decisions(_reviews(run1)), "decisions")
     path = scratch_path(spark, "reviewed")
     for _ in range(2):  # a rerun adds nothing
         RV.apply_decisions(raw, decisions, path)

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from homeledger.operators.quality import dataset_fingerprint
+from homeledger.session import materialize
 
 COMMIT_SCHEMA = "version string, number long, step string, format string, schema string, committed_at timestamp"
 #: Names of the log's own columns, which no key can have (and no stored column the first).
@@ -135,6 +136,8 @@ def read(spark: SparkSession, path: str, keys: list[str], units: DataFrame | Non
     schema = schema or T.StructType.fromJson(json.loads(newest["schema"]))
     rows = _rows(spark, _part(path, "data"), T.StructType([*schema.fields, T.StructField("version", T.StringType())]),
                  newest["format"])
+    # written, so its size is known: a log of few units is broadcast, and the rows are not dealt by unit
+    current = materialize(current, "units")
     return rows.join(current, ["version", *keys], "left_semi").select(*schema.names)
 
 
