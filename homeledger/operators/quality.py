@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from homeledger.functions.quantiles import exact_quantiles
-from homeledger.functions.columns import row_digest
+from homeledger.functions.columns import digest_sum
 from homeledger.schema import (
     MIN_ROW_COUNT, NOT_NULL_EXPECTATIONS, RANGE_EXPECTATIONS, REQUIRED_COLUMNS, SET_EXPECTATIONS,
 )
@@ -174,7 +174,7 @@ def dataset_fingerprint(df: DataFrame, by: list[str] | None = None) -> DataFrame
         for f in df.schema.fields if f.name in cols])
     g = canon.groupBy(*by) if by else canon.groupBy()
     return g.agg(F.count(F.lit(1)).alias("row_count"),
-                 F.sum(row_digest(cols)).cast("decimal(38,0)").cast("string").alias("fingerprint"))
+                 digest_sum(cols).cast("decimal(38,0)").cast("string").alias("fingerprint"))
 
 
 def target_profile(df: DataFrame, target: str = "sold_price") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from homeledger.functions.columns import digest_sum
 from homeledger.operators import review as RV
 from homeledger.session import scratch_path
 from homeledger.sources.fixture import listings
@@ -40,3 +41,12 @@ def test_f10_counts_of_a_snapshot_that_the_rules_empty(spark):
     want = rows.groupBy("snapshot").agg(F.count("*").alias("n"), F.count_if(F.col("beds") <= 20).alias("kept")).collect()
     assert {k: (r["rows_before"], r["rows_after"]) for k, r in report.items()} == {r["snapshot"]: (r["n"], r["kept"]) for r in want}
     assert {r["status"] for k, r in report.items() if not r["rows_after"]} <= {"refused_empty"}
+
+
+def test_f21_digest_sum_is_exact_and_adds_no_wide_decimals(spark):
+    df = spark.range(3000).select("id", (F.col("id") % 7).alias("k"))
+    text = F.concat_ws("\u0001", F.col("id").cast("string"), F.col("k").cast("string"))
+    plain = F.sum(F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("decimal(38,0)")).cast("decimal(38,0)")
+    row = df.agg(digest_sum(["id", "k"]).cast("decimal(38,0)").alias("a"), plain.alias("b")).first()
+    assert row["a"] == row["b"] > 2 ** 60
+    assert df.where("false").agg(digest_sum(["id"]).alias("a")).first()["a"] is None
