@@ -116,7 +116,8 @@ def links(fps: DataFrame, distance: int = 2, hot: int = 1024) -> DataFrame:
         some = big is not None and bool(big.take(1))
         cold = rows.join(big, "key", "left_anti") if some else rows
         cond = " AND ".join(["a.key = b.key", "a.fp < b.fp", f"bit_count(a.fp ^ b.fp) <= {distance}", *conds])
-        out.append(cold.alias("a").join(cold.alias("b"), F.expr(cond))
+        # the planner takes the exploded rows for as small as the fingerprints and would broadcast them, 64 rows for one
+        out.append(cold.alias("a").hint("merge").join(cold.alias("b"), F.expr(cond))
                    .select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v")))
         if not some:
             break
