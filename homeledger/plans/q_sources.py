@@ -12,7 +12,7 @@ from homeledger.plans.q_review import STAMP, TS1, _label, _report_ctes
 from homeledger.plans.registry import register
 from homeledger.plans.sqlbits import with_cleaned, with_listings
 from homeledger.schema import LISTING_COLUMNS, OUTLIER_COLUMNS, VALID_STYLES
-from homeledger.session import scratch_path
+from homeledger.session import scratch_path, scratch_scope
 from homeledger.sources import io
 from homeledger.sources.fixture import listings
 
@@ -51,7 +51,8 @@ def q_latest_snapshot(spark, sf):
     lst = listings(spark, sf)
     older = _label(lst).withColumn("snapshot", F.concat(F.lit("old_"), F.col("snapshot")))
     io.write_snapshot(older, base, "cleaned")
-    io.write_snapshot(_label(C.clean_data(lst)).withColumn("snapshot", F.lit(f"ALL_OH_365d_{STAMP}")), base, "cleaned")
+    with scratch_scope(spark):  # what is published is read from the store
+        io.write_snapshot(_label(C.clean_data(lst)).withColumn("snapshot", F.lit(f"ALL_OH_365d_{STAMP}")), base, "cleaned")
     return io.latest_snapshot(spark, base, "cleaned")
 
 

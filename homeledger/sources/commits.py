@@ -82,7 +82,8 @@ def publish(df: DataFrame, path: str, keys: list[str], version: str | None = Non
     named = df.withColumns({k: F.when(F.col(k) != "", F.col(k)).otherwise(
         F.raise_error(F.lit(f"a row to publish has no {k}"))) for k in keys})
     # a version that was killed half-way starts afresh
-    named.write.mode("overwrite").partitionBy(*keys).format(fmt).save(own)
+    zipped = {"compression": "zstd"} if fmt == "parquet" else {}
+    named.write.mode("overwrite").partitionBy(*keys).format(fmt).options(**zipped).save(own)
     # counted from the files, so the log says what readers will find
     stored = _rows(spark, own, df.schema, fmt)
     files = stored.groupBy(*keys).agg(F.count_distinct("_metadata.file_path").alias("files"))
